@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from . import queries_rules
+from . import queries_dedup, queries_rules, queries_scan
 
-QUERIES = {"op4_quality_rules": queries_rules.op4_quality_rules}
-ORACLE_SQL = {"op4_quality_rules": queries_rules.OP4_SQL}
+QUERIES = {
+    "op4_quality_rules": queries_rules.op4_quality_rules,
+    "op5_simhash": queries_dedup.op5_simhash,
+    "op8_decontaminate": queries_scan.op8_decontaminate,
+}
+ORACLE_SQL = {"op4_quality_rules": queries_rules.OP4_SQL, "op8_decontaminate": queries_scan.OP8_SQL}

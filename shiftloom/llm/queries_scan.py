@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ._spark import table
 from .decontaminate import contamination
+from .pii import personal_data
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,3 +36,7 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(cov.n, 0)::BIGINT AS n_hit,
        sha256(coalesce(its.l, '')) AS items_sha256, coalesce(cov.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN cov USING (rid) LEFT JOIN its USING (rid)
 """
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))

@@ -6,10 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._spark import table
+from .byte_cnn import quality_scores, train_quality
 from .decontaminate import contamination
 from .pii import personal_data
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_scores(docs, train_quality(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select(

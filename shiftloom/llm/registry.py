@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import queries_dedup, queries_rules, queries_scan
 
 QUERIES = {
+    "op1_quality": queries_scan.op1_quality,
     "op2_pii": queries_scan.op2_pii,
     "op4_quality_rules": queries_rules.op4_quality_rules,
     "op5_simhash": queries_dedup.op5_simhash,

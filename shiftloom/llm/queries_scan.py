@@ -9,6 +9,7 @@ from ._spark import table
 from .byte_cnn import quality_scores, train_quality
 from .decontaminate import contamination
 from .pii import personal_data
+from .tokens import section_tokens, token_digests
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,3 +47,11 @@ FROM d LEFT JOIN cov USING (rid) LEFT JOIN its USING (rid)
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
+
+
+def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(table(spark, sf_dir, "documents"))
+
+
+def op10_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return section_tokens(table(spark, sf_dir, "documents"), ("source", "lang", "text"))

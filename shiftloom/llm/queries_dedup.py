@@ -7,8 +7,13 @@ from pyspark.sql import functions as F
 
 from ._spark import table
 from .simhash import simhash_components
+from .suffix_dedup import remove_repeats
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash_components(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))

@@ -7,6 +7,7 @@ from . import queries_dedup, queries_rules, queries_scan
 QUERIES = {
     "op1_quality": queries_scan.op1_quality,
     "op2_pii": queries_scan.op2_pii,
+    "op3_suffix_dedup": queries_dedup.op3_suffix_dedup,
     "op4_quality_rules": queries_rules.op4_quality_rules,
     "op5_simhash": queries_dedup.op5_simhash,
     "op7_pieces": queries_scan.op7_pieces,

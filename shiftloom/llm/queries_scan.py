@@ -9,6 +9,7 @@ from ._spark import table
 from .byte_cnn import quality_scores, train_quality
 from .decontaminate import contamination
 from .pii import personal_data
+from .suffix_tree_lm import language_scores
 from .tokens import section_tokens, token_digests
 
 
@@ -55,3 +56,7 @@ def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return section_tokens(table(spark, sf_dir, "documents"), ("source", "lang", "text"))
+
+
+def op9_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_scores(table(spark, sf_dir, "documents"))

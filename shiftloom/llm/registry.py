@@ -12,6 +12,7 @@ QUERIES = {
     "op5_simhash": queries_dedup.op5_simhash,
     "op7_pieces": queries_scan.op7_pieces,
     "op8_decontaminate": queries_scan.op8_decontaminate,
+    "op9_suffix_tree": queries_scan.op9_suffix_tree,
     "op10_section_tokens": queries_scan.op10_section_tokens,
 }
 ORACLE_SQL = {"op4_quality_rules": queries_rules.OP4_SQL, "op8_decontaminate": queries_scan.OP8_SQL}

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._spark import table
+from .chaining import passage_classes
 from .simhash import simhash_components
 from .suffix_dedup import remove_repeats
 
@@ -17,3 +18,7 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op6_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_classes(table(spark, sf_dir, "documents"))

@@ -10,6 +10,7 @@ QUERIES = {
     "op3_suffix_dedup": queries_dedup.op3_suffix_dedup,
     "op4_quality_rules": queries_rules.op4_quality_rules,
     "op5_simhash": queries_dedup.op5_simhash,
+    "op6_chaining": queries_dedup.op6_chaining,
     "op7_pieces": queries_scan.op7_pieces,
     "op8_decontaminate": queries_scan.op8_decontaminate,
     "op9_suffix_tree": queries_scan.op9_suffix_tree,

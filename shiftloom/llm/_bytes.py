@@ -215,3 +215,17 @@ def char_positions(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
     out = np.zeros(n + 1, np.int64)
     np.cumsum((buf[:n] & 0xC0) != 0x80, out=out[1:])
     return out
+
+
+def replace_column(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
+    """The batch with some columns exchanged."""
+    return pa.RecordBatch.from_arrays([columns.get(n, batch.column(n)) for n in batch.schema.names], names=batch.schema.names)
+
+
+def text_array(parts: list[bytes]) -> pa.Array:
+    """UTF-8 byte strings as a string column."""
+    return pa.array(parts, pa.binary()).cast(pa.string())
+
+
+def code_points(parts: list[bytes]) -> np.ndarray:
+    return np.array([len(x.decode("utf-8", "replace")) for x in parts], np.int64)

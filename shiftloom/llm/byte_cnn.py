@@ -242,3 +242,14 @@ def quality_scores(docs: DataFrame, weights: Weights, doc_id: str = "doc_id", te
     shared = docs.sparkSession.sparkContext.broadcast(weights)  # a fixed number of weights
     out = texts(docs, doc_id, text).mapInArrow(_scorer(shared), "doc_id long, score double")
     return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_good(docs: DataFrame, weights: Weights, text: str = "text", threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` whose text scores at least ``threshold``, all columns kept."""
+    shared = docs.sparkSession.sparkContext.broadcast(weights)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, buf, off in chunks(batches, text):
+            yield rows.filter(pa.array(score(shared.value, buf, off) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -24,10 +24,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._bytes import ALNUM, LOWER, chunks, hash_spans, merged, ranges, text_buffer, words
+from ._bytes import ALNUM, LOWER, chunks, code_points, hash_spans, merged, ranges, replace_column, text_array, text_buffer, words
 from .fm_index import FMIndex
 
 WIDTH = 10
@@ -188,20 +189,24 @@ def _scanner(block, width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator
 SCAN_SCHEMA = "key long, row long, n_words long, first_word array<long>, end_word array<long>, first_byte array<long>, end_byte array<long>, items array<string>"
 
 
-def benchmark_hits(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> tuple[int, DataFrame]:
-    """(number of passes, a row per row of ``docs`` and pass: spans of hit words and the items found)."""
-    spark = docs.sparkSession
+def _benchmark_blocks(benchmark: DataFrame, width: int, block_bytes: int) -> list:
+    """Broadcasts of the benchmark's windows, ``block_bytes`` of text or less each (but for a larger single item)."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     blocks = max(1, -(-int(size) // block_bytes))
+    parts = [items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k) for k in range(blocks)]
+    return [benchmark.sparkSession.sparkContext.broadcast(build_windows(part.toArrow(), width)) for part in parts]
+
+
+def benchmark_hits(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> tuple[int, DataFrame]:
+    """(number of passes, a row per row of ``docs`` and pass: spans of hit words and the items found)."""
+    blocks = _benchmark_blocks(benchmark, width, block_bytes)
     source = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text")).withColumn("row", F.xxhash64("text"))
     out = None
-    for k in range(blocks):
-        part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
-        block = spark.sparkContext.broadcast(build_windows(part.toArrow(), width))
+    for k, block in enumerate(blocks):
         found = source.mapInArrow(_scanner(block, width), SCAN_SCHEMA).withColumn("block", F.lit(k))
         out = found if out is None else out.unionByName(found)
-    return blocks, out
+    return len(blocks), out
 
 
 def _merge_blocks(found: DataFrame) -> DataFrame:
@@ -242,3 +247,44 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
         found = _merge_blocks(found)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["end_word"] - x["first_word"])
     return found.select("key", "n_words", hit.alias("n_hit"), F.array_sort(F.array_distinct("items")).alias("items"), "spans")
+
+
+def cut_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", n_chars: str = "n_chars", width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` with every span of hit words cut out of the text and ``n_chars`` counted anew; other rows as they were.
+
+    Several benchmark blocks are cut one after the other.
+    """
+
+    def cutter(block):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            w: Windows = block.value
+            slots = np.zeros(1 << _SLOTS, bool)
+            slots[w.pair_slots] = True
+            for rows, buf, off in chunks(batches, text, SHARD_BYTES):
+                h, starts, ends, word_off = word_hashes(buf, off)
+                a, b, _, _ = shard_hits(h, word_off, w, slots)
+                if not len(a):
+                    yield rows
+                    continue
+                a, b, row = split_at_rows(a, b, word_off)
+                hit = np.unique(row)
+                gone = np.zeros(int(off[-1]), bool)
+                gone[ranges(starts[a], ends[b - 1] - starts[a])] = True
+                parts = [buf[off[i] : off[i + 1]][~gone[off[i] : off[i + 1]]].tobytes() for i in hit.tolist()]
+                yield exchanged(rows, hit, parts, text, n_chars)
+
+        return run
+
+    for block in _benchmark_blocks(benchmark, width, block_bytes):
+        docs = docs.mapInArrow(cutter(block), docs.schema)
+    return docs
+
+
+def exchanged(rows: pa.RecordBatch, hit: np.ndarray, parts: list[bytes], text: str, n_chars: str) -> pa.RecordBatch:
+    """The batch with new texts (and their lengths in code points) in the rows ``hit``."""
+    mask = np.zeros(rows.num_rows, bool)
+    mask[hit] = True
+    old = rows.column(rows.schema.get_field_index(text))
+    new = pc.replace_with_mask(old, pa.array(mask), text_array(parts).cast(old.type))
+    size = rows.column(rows.schema.get_field_index(n_chars))
+    return replace_column(rows, **{text: new, n_chars: pc.replace_with_mask(size, pa.array(mask), pa.array(code_points(parts)).cast(size.type))})

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 
 from ._bytes import LOWER, SPACED, byte_class, char_positions, chunks, hash_spans, ranges, words
 from ._spark import texts
+from .decontaminate import exchanged
 from .crf import LABELS, Features, LinearChainCRF, labelled_table
 
 #: Kinds in the order in which spans of one start are listed.
@@ -187,16 +188,25 @@ def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", m
     return texts(docs, doc_id, text).mapInArrow(_finder(model or train()), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
 
 
-def mask_text(model: LinearChainCRF, features: Features, buf: np.ndarray, off: np.ndarray) -> list[bytes]:
-    """Each row's text with every span replaced by ``<KIND>``; overlapping spans become the first one's mark."""
-    _, every = find_spans(model, features, buf, off)
-    out = []
-    for i, spans in enumerate(every):
-        parts, at = [], int(off[i])
-        for kind, a, b in spans:
-            if a >= at:
-                parts += [buf[at:a].tobytes(), f"<{kind.upper()}>".encode()]
-            at = max(at, b)
-        parts.append(buf[at : off[i + 1]].tobytes())
-        out.append(b"".join(parts))
-    return out
+def masked(buf: np.ndarray, begin: int, end: int, spans: list[tuple[str, int, int]]) -> bytes:
+    """The bytes with every span replaced by ``<KIND>``; overlapping spans become the first one's mark."""
+    parts, at = [], begin
+    for kind, a, b in spans:
+        if a >= at:
+            parts += [buf[at:a].tobytes(), f"<{kind.upper()}>".encode()]
+        at = max(at, b)
+    return b"".join([*parts, buf[at:end].tobytes()])
+
+
+def mask(docs: DataFrame, text: str = "text", n_chars: str = "n_chars", model: LinearChainCRF | None = None) -> DataFrame:
+    """``docs`` with personal data in the text replaced by marks and ``n_chars`` counted anew; other rows as they were."""
+    model = model or train()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features = Features()
+        for rows, buf, off in chunks(batches, text):
+            _, every = find_spans(model, features, buf, off)
+            hit = np.array([i for i, spans in enumerate(every) if spans], np.int64)
+            yield exchanged(rows, hit, [masked(buf, int(off[i]), int(off[i + 1]), every[i]) for i in hit.tolist()], text, n_chars) if len(hit) else rows
+
+    return docs.mapInArrow(run, docs.schema)

@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ._bytes import SPACED, chunks, joined_words, xxh64_spans
 from ._spark import checkpointed, texts
@@ -130,12 +131,37 @@ def components(pairs: DataFrame, rounds: int = 60) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def simhash_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fp, component_id): one row per row; component_id is the least id of the component."""
+def labelled(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, fp, root, component_id): one row per row; root is the component's least fingerprint, component_id its least id."""
     prints = checkpointed(fingerprint_table(docs, doc_id, text))
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
     roots = checkpointed(components(links(distinct)))
     named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     ids = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    by_print = named.select("fp", "root").join(ids, "root").select("fp", "component_id")
-    return prints.join(by_print, "fp").select("doc_id", "fp", "component_id")
+    by_print = named.select("fp", "root").join(ids, "root").select("fp", "root", "component_id")
+    return prints.join(by_print, "fp").select("doc_id", "fp", "root", "component_id")
+
+
+def simhash_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, fp, component_id): one row per row of ``docs``."""
+    return labelled(docs, doc_id, text).select("doc_id", "fp", "component_id")
+
+
+def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component, all columns kept: the least id's; of its rows one of the least fingerprint.
+
+    A component of null ids alone keeps one row too.
+    """
+    chosen = labelled(docs, doc_id, text).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    chosen = chosen.groupBy("root").agg(F.min(F.struct("fp", "doc_id")).alias("x"))
+    place = lambda i, p: F.xxhash64(F.coalesce(i.cast("string"), F.lit("-")), p)
+    chosen = chosen.select(place(F.col("x.doc_id"), F.col("x.fp")).alias("_place"))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, buf, off in chunks(batches, text):
+            prints = fingerprints(*shingle_hashes(buf, off)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(prints)], names=[*rows.schema.names, "_fp"])
+
+    schema = T.StructType([*docs.schema.fields, T.StructField("_fp", T.LongType())])
+    printed = docs.mapInArrow(add, schema).withColumn("_place", place(F.col(doc_id), F.col("_fp")))
+    return printed.join(chosen, "_place", "left_semi").dropDuplicates(["_place"]).drop("_place", "_fp")

@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ._bytes import chunks, ranges
 from ._spark import texts
@@ -59,6 +60,22 @@ def encode_texts(docs: DataFrame, model: str = MODEL, doc_id: str = "doc_id", te
     return texts(docs, doc_id, text).mapInArrow(run, "doc_id long, token_ids array<int>")
 
 
+def with_tokens(docs: DataFrame, model: str = MODEL, text: str = "text") -> DataFrame:
+    """``docs`` with n_tokens and token_ids in place of the text."""
+    shared = share_model(docs.sparkSession, model)
+    kept = [f for f in docs.schema.fields if f.name != text]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder(shared)
+        for rows, buf, off in chunks(batches, text):
+            ids, row_off = encoder.encode(buf, off)
+            columns = [rows.column(rows.schema.get_field_index(f.name)) for f in kept]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.diff(row_off)), pa.ListArray.from_arrays(pa.array(row_off, pa.int32()), pa.array(ids, pa.int32()))], names=[*(f.name for f in kept), "n_tokens", "token_ids"])
+
+    schema = T.StructType([*kept, T.StructField("n_tokens", T.LongType()), T.StructField("token_ids", T.ArrayType(T.IntegerType()))])
+    return docs.mapInArrow(run, schema)
+
+
 def decode_tokens(tokens: DataFrame, model: str = MODEL, doc_id: str = "doc_id") -> DataFrame:
     """doc_id, text: the texts of ``token_ids``; a null list gives the empty text."""
     shared = share_model(tokens.sparkSession, model)

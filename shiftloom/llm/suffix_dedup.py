@@ -377,12 +377,16 @@ def _documents(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return buf, off, table.column("key").to_numpy(), table.column("doc_id").fill_null(int(NO_ID)).to_numpy()
 
 
-def _member(key: np.ndarray, unit: np.ndarray, of_key: np.ndarray, of_unit: np.ndarray) -> np.ndarray:
-    """Whether (key, unit) is among the pairs (of_key, of_unit)."""
-    if not len(of_key):
-        return np.zeros(len(key), bool)
-    mix = lambda k, u: (k.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ u.view(np.uint64)
-    return np.isin(mix(key, unit), mix(of_key, of_unit))
+def _mixed(key: np.ndarray, unit: np.ndarray) -> np.ndarray:
+    """One number for a (text key, unit hash) pair."""
+    return (key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ unit.view(np.uint64)
+
+
+def _among(x: np.ndarray, distinct: np.ndarray) -> np.ndarray:
+    """Whether each x is in the sorted array."""
+    if not len(distinct):
+        return np.zeros(len(x), bool)
+    return distinct[np.minimum(np.searchsorted(distinct, x), len(distinct) - 1)] == x
 
 
 def _extract(length: int, gram: int, bins: int):
@@ -390,6 +394,7 @@ def _extract(length: int, gram: int, bins: int):
         if not docs.num_rows or not asked.num_rows:
             return pa.Table.from_batches([flow([])])
         of_key, _, of_unit = documents_of(asked.column("payload").to_pylist(), 1)
+        asked_units = np.unique(_mixed(of_key, of_unit))
         buf, off, key, ident = _documents(docs)
         got: list[tuple[np.ndarray, ...]] = []
         bodies: list[np.ndarray] = []
@@ -398,7 +403,7 @@ def _extract(length: int, gram: int, bins: int):
             part = buf[a : b + PAD]
             g, u, start, spanned, _ = units(part, np.array([0, b - a]), length, gram)
             g, u = g.view(np.int64), u.view(np.int64)
-            hit = np.flatnonzero(_member(np.full(len(u), key[at]), u, of_key, of_unit))
+            hit = np.flatnonzero(_among(_mixed(np.full(len(u), key[at]), u), asked_units))
             hit = hit[np.unique(u[hit], return_index=True)[1]]
             if len(hit):
                 got.append((g[hit], u[hit], np.full(len(hit), key[at]), np.full(len(hit), ident[at]), spanned[hit]))
@@ -463,7 +468,7 @@ def _remove(length: int, gram: int, keep_text: bool):
         s_key, _, s_unit = documents_of([p for k, p in zip(kind, payload, strict=True) if k == SETTLED], 1)
         w_key, _, w_unit, w_place = documents_of([p for k, p in zip(kind, payload, strict=True) if k == WINDOWS], 2)
         w_place = w_place.astype(np.int64)
-        w_mix = (w_key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ w_unit.view(np.uint64)
+        s_mix, w_mix = np.unique(_mixed(s_key, s_unit)), _mixed(w_key, w_unit)
         by_mix = np.argsort(w_mix, kind="stable")
         w_mix, w_place = w_mix[by_mix], w_place[by_mix]
         touched = np.isin(key, s_key) | np.isin(key, w_key)
@@ -475,9 +480,8 @@ def _remove(length: int, gram: int, keep_text: bool):
             if touched[at]:
                 g, u, start, spanned, _ = units(buf[a : b + PAD], np.array([0, b - a]), length, gram)
                 u = u.view(np.int64)
-                own = np.full(len(u), key[at])
-                whole = np.flatnonzero(_member(own, u, s_key, s_unit))
-                mix = (own.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ u.view(np.uint64)
+                mix = _mixed(np.full(len(u), key[at]), u)
+                whole = np.flatnonzero(_among(mix, s_mix))
                 low, high = np.searchsorted(w_mix, mix, "left"), np.searchsorted(w_mix, mix, "right")
                 some = np.flatnonzero(high > low)
                 windows = np.repeat(start[some], (high - low)[some]) + w_place[ranges(low[some], (high - low)[some])]

@@ -200,21 +200,23 @@ def _bin(g: np.ndarray, bins: int) -> np.ndarray:
     return ((g.view(np.uint64) >> np.uint64(34)) % np.uint64(bins)).astype(np.int64)
 
 
-def _anchors(length: int, gram: int, bins: int, flush_at: int = 1_000_000):
+def _anchors(length: int, gram: int, bins: int, flush_at: int = 500_000):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(store: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
             g, u, key, ident = (np.concatenate(x) for x in zip(*store, strict=True))
+            store.clear()
             order, _, least = _least_of_runs((u,), ident)
             g, u, key, ident = (x[order] for x in (g, u, key, ident))
             settled = ident > least
             keep = ~settled
+            del order, least
             rows = [*dealt(_bin(g[keep], bins), UNIT, key[keep], ident[keep], g[keep].astype("<u4"), u[keep])]
             rows += dealt(_bucket(key[settled], bins), SETTLED, key[settled], ident[settled], u[settled])
             for at in range(0, len(rows), 512):
                 yield flow(rows[at : at + 512])
 
         store, held = [], 0
-        for rows, buf, off in chunks(batches, "text"):
+        for rows, buf, off in chunks(batches, "text", 1 << 19):
             g, u, _, _, row = units(buf, off, length, gram)
             if not len(g):
                 continue

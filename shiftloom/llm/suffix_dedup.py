@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._bytes import PAD, chunks, hash_spans, merged, ranges, text_buffer
+from ._bytes import PAD, chunks, hash_spans, ranges, text_buffer
 from ._spark import checkpointed, partitions
 
 LENGTH, GRAM = 50, 25
@@ -374,9 +374,15 @@ class BlindTrie:
 # --- bytes where copies differ -----------------------------------------------------------------
 
 
-def _documents(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    buf, off = text_buffer(table.column("text"))
-    return buf, off, table.column("key").to_numpy(), table.column("doc_id").fill_null(int(NO_ID)).to_numpy()
+def _unit_chunks(docs: pa.Table, rows: np.ndarray, length: int, gram: int, limit: int = 1 << 19) -> Iterator[tuple]:
+    """Units of the given rows, some texts at a time: (rows, buf, off, gram hash, unit hash, start, spanned, place in rows)."""
+    part = docs.select(["text"]).take(pa.array(rows))
+    at = 0
+    for batch in part.combine_chunks().to_batches():
+        for some, buf, off in chunks(iter([batch]), "text", limit):
+            g, u, start, spanned, row = units(buf, off, length, gram)
+            yield rows[at : at + some.num_rows], buf, off, g.view(np.int64), u.view(np.int64), start, spanned, row
+            at += some.num_rows
 
 
 def _mixed(key: np.ndarray, unit: np.ndarray) -> np.ndarray:
@@ -397,19 +403,16 @@ def _extract(length: int, gram: int, bins: int):
             return pa.Table.from_batches([flow([])])
         of_key, _, of_unit = documents_of(asked.column("payload").to_pylist(), 1)
         asked_units = np.unique(_mixed(of_key, of_unit))
-        buf, off, key, ident = _documents(docs)
+        key, ident = docs.column("key").to_numpy(), docs.column("doc_id").fill_null(int(NO_ID)).to_numpy()
         got: list[tuple[np.ndarray, ...]] = []
         bodies: list[np.ndarray] = []
-        for at in np.flatnonzero(np.isin(key, of_key)).tolist():
-            a, b = int(off[at]), int(off[at + 1])
-            part = buf[a : b + PAD]
-            g, u, start, spanned, _ = units(part, np.array([0, b - a]), length, gram)
-            g, u = g.view(np.int64), u.view(np.int64)
-            hit = np.flatnonzero(_among(_mixed(np.full(len(u), key[at]), u), asked_units))
-            hit = hit[np.unique(u[hit], return_index=True)[1]]
+        for rows, buf, _, g, u, start, spanned, row in _unit_chunks(docs, np.flatnonzero(_among(key, np.unique(of_key))), length, gram):
+            mix = _mixed(key[rows[row]], u)
+            hit = np.flatnonzero(_among(mix, asked_units))
+            hit = hit[np.unique(mix[hit], return_index=True)[1]]
             if len(hit):
-                got.append((g[hit], u[hit], np.full(len(hit), key[at]), np.full(len(hit), ident[at]), spanned[hit]))
-                bodies.append(part[ranges(start[hit], spanned[hit])])
+                got.append((g[hit], u[hit], key[rows[row[hit]]], ident[rows[row[hit]]], spanned[hit]))
+                bodies.append(buf[ranges(start[hit], spanned[hit])])
         if not got:
             return pa.Table.from_batches([flow([])])
         g, u, key, ident, spanned = (np.concatenate(x) for x in zip(*got, strict=True))
@@ -463,50 +466,50 @@ def _sort_windows(length: int, bins: int):
     return run
 
 
-def _remove(length: int, gram: int, keep_text: bool):
+def _remove(length: int, gram: int, keep_bytes: bool):
     def run(docs: pa.Table, found: pa.Table) -> pa.Table:
-        buf, off, key, _ = _documents(docs)
+        key = docs.column("key").to_numpy()
         kind, payload = found.column("kind").to_pylist(), found.column("payload").to_pylist()
         s_key, _, s_unit = documents_of([p for k, p in zip(kind, payload, strict=True) if k == SETTLED], 1)
         w_key, _, w_unit, w_place = documents_of([p for k, p in zip(kind, payload, strict=True) if k == WINDOWS], 2)
-        w_place = w_place.astype(np.int64)
         s_mix, w_mix = np.unique(_mixed(s_key, s_unit)), _mixed(w_key, w_unit)
-        by_mix = np.argsort(w_mix, kind="stable")
-        w_mix, w_place = w_mix[by_mix], w_place[by_mix]
-        touched = np.isin(key, s_key) | np.isin(key, w_key)
-        removed, n_spans, digest, kept = [], [], [], []
-        for at in range(docs.num_rows):
-            a, b = int(off[at]), int(off[at + 1])
-            data = buf[a:b]
-            runs = 0
-            if touched[at]:
-                g, u, start, spanned, _ = units(buf[a : b + PAD], np.array([0, b - a]), length, gram)
-                u = u.view(np.int64)
-                mix = _mixed(np.full(len(u), key[at]), u)
-                whole = np.flatnonzero(_among(mix, s_mix))
-                low, high = np.searchsorted(w_mix, mix, "left"), np.searchsorted(w_mix, mix, "right")
-                some = np.flatnonzero(high > low)
-                windows = np.repeat(start[some], (high - low)[some]) + w_place[ranges(low[some], (high - low)[some])]
-                s, e = merged(np.concatenate([start[whole], windows]), np.concatenate([start[whole] + spanned[whole], windows + length]))
-                runs = len(s)
-                if runs:
-                    edge = np.zeros(b - a + 1, np.int32)
-                    np.add.at(edge, s, 1)
-                    np.add.at(edge, e, -1)
-                    mask = np.cumsum(edge)[: b - a] == 0
-                    data = data[mask]
-            raw = data.tobytes()
-            removed.append(b - a - len(raw))
-            n_spans.append(runs)
-            digest.append(hashlib.sha256(raw).hexdigest())
-            if keep_text:
-                kept.append(raw)
-        out = [docs.column("doc_id"), pa.array(np.diff(off), pa.int64()), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(digest, pa.string())]
+        order = np.argsort(w_mix, kind="stable")
+        w_mix, w_place = w_mix[order], w_place[order].astype(np.int64)
+        touched = _among(key, np.unique(np.concatenate([s_key, w_key])))
+        n = docs.num_rows
+        n_bytes, removed, n_spans = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
+        digest, kept = [""] * n, [b""] * n
+
+        def put(i: int, size: int, raw: bytes) -> None:
+            n_bytes[i], removed[i] = size, size - len(raw)
+            digest[i] = hashlib.sha256(raw).hexdigest()
+            if keep_bytes:
+                kept[i] = raw
+
+        plain = np.flatnonzero(~touched)
+        buf, off = text_buffer(docs.column("text").take(pa.array(plain)))
+        for k, i in enumerate(plain.tolist()):
+            put(i, int(off[k + 1] - off[k]), buf[off[k] : off[k + 1]].tobytes())
+        for rows, buf, off, _, u, start, spanned, row in _unit_chunks(docs, np.flatnonzero(touched), length, gram):
+            mix = _mixed(key[rows[row]], u)
+            whole = np.flatnonzero(_among(mix, s_mix))
+            low, high = np.searchsorted(w_mix, mix, "left"), np.searchsorted(w_mix, mix, "right")
+            some = np.flatnonzero(high > low)
+            windows = np.repeat(start[some], (high - low)[some]) + w_place[ranges(low[some], (high - low)[some])]
+            total = int(off[-1])
+            edge = np.bincount(np.concatenate([start[whole], windows]), minlength=total + 1) - np.bincount(np.concatenate([start[whole] + spanned[whole], windows + length]), minlength=total + 1)
+            covered = np.cumsum(edge)[:total] > 0
+            begins = covered.copy()
+            begins[1:] &= ~covered[:-1]
+            first = off[:-1][np.diff(off) > 0]
+            begins[first] = covered[first]
+            n_spans[rows] = np.diff(np.searchsorted(np.flatnonzero(begins), off))
+            for k, i in enumerate(rows.tolist()):
+                a, b = int(off[k]), int(off[k + 1])
+                put(i, b - a, buf[a:b][~covered[a:b]].tobytes())
+        out = [docs.column("doc_id"), pa.array(n_bytes), pa.array(removed), pa.array(n_spans), pa.array(digest, pa.string())]
         names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-        if keep_text:
-            out.append(pa.array(kept, pa.binary()))
-            names.append("kept")
-        return pa.table(out, names=names)
+        return pa.table([*out, pa.array(kept, pa.binary())] if keep_bytes else out, names=[*names, "kept"] if keep_bytes else names)
 
     return run
 
@@ -515,7 +518,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and ``kept``, the remaining bytes): one row per row of ``docs``."""
     spark = docs.sparkSession
     gram = max(1, length // 2)
-    bins = 2 * partitions(spark)
+    bins = partitions(spark)
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     source = source.withColumn("key", F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "text"))
     entries = source.mapInArrow(_anchors(length, gram, bins), _FLOW)

@@ -52,11 +52,18 @@ def noised_spectra(blocks: Column, o: AugmentOptions, key: Column) -> tuple[Colu
     if not o.noise:
         return clean, F.lit(None).cast("string"), F.lit(False)
     mode = pick(list(o.modes), o.seed, "mode", key)
+    filled = F.filter(blocks, lambda b: F.coalesce(b["shift_text"], F.lit("")) != "")
+
+    def header(b: Column) -> Column:
+        """What stands before the peaks, without the colon."""
+        return F.regexp_replace(sp.spectrum_text(b["type"], b["frequency"], b["solvent"], F.lit("~")), r"(: )?~$", "")
+
+    def noised(mode: str) -> Column:
+        return F.array_join(F.transform(filled, lambda b: sp.apply_noise(b["shift_text"], header(b), mode, o.strength, o.seed, key)), "\n")
+
     rendered = None
     for m in o.modes:
-        each = F.transform(F.filter(blocks, lambda b: F.coalesce(b["shift_text"], F.lit("")) != ""), lambda b, m=m: sp.apply_noise(b["shift_text"], sp.spectrum_text(b["type"], b["frequency"], b["solvent"], F.lit("\0")).substr(F.lit(1), F.greatest(F.char_length(sp.spectrum_text(b["type"], b["frequency"], b["solvent"], F.lit("\0"))) - 3, F.lit(0))), m, o.strength, o.seed, key))
-        joined = F.array_join(each, "\n")
-        rendered = F.when(mode == m, joined) if rendered is None else rendered.when(mode == m, joined)
+        rendered = F.when(mode == m, noised(m)) if rendered is None else rendered.when(mode == m, noised(m))
     hit = (clean != "") & (u(o.seed, "noise", key) < o.noise)
     text = F.when(hit, rendered).otherwise(clean)
     return text, F.when(hit, mode), hit & (text != clean)

@@ -15,7 +15,7 @@ class LocalSearch:
     """Holds the index of a reaction table (record, source_ord, reactants, products) and answers queries."""
 
     def __init__(self, reactions: DataFrame, backend: str = "opaque", complete: bool = True):
-        self.records = reactions.select("record", F.element_at("products", 1).alias("product"), "source_ord").where(F.col("product").isNotNull())
+        self.records = reactions.select("record", F.get("products", F.lit(0)).alias("product"), "source_ord").where(F.col("product").isNotNull())
         self.index = inverted_index(reactions.select("record", F.col("reactants").alias("components")))
         self.spark, self.backend, self.complete = reactions.sparkSession, backend, complete
 

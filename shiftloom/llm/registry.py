@@ -16,4 +16,4 @@ QUERIES = {
     "op9_suffix_tree": queries_scan.op9_suffix_tree,
     "op10_section_tokens": queries_scan.op10_section_tokens,
 }
-ORACLE_SQL = {"op4_quality_rules": queries_rules.OP4_SQL, "op8_decontaminate": queries_scan.OP8_SQL}
+ORACLE_SQL = {"op3_suffix_dedup": queries_dedup.OP3_SQL, "op4_quality_rules": queries_rules.OP4_SQL, "op8_decontaminate": queries_scan.OP8_SQL}

@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ._spark import checkpointed
+
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[^#*$%&|<>]+"
@@ -99,7 +101,7 @@ def frequent_lines(lines: DataFrame, host_docs: DataFrame, floor_docs: int, shar
 
 def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", floor_docs: int = 50, share_per_mille: int = 5, depleted_percent: int = 70) -> DataFrame:
     """doc_id, counts, base_failed, removed_chars, depleted, kept: one row per row of ``docs``."""
-    lines = document_lines(docs, doc_id, text, host)
+    lines = checkpointed(document_lines(docs, doc_id, text, host))  # read twice: to count, and to find the removed ones
     hosts = docs.select(F.coalesce(F.col(host).cast("string"), F.lit("\0null")).alias("host")).groupBy("host").agg(F.count("*").alias("host_docs"))
     bad = frequent_lines(lines, hosts, floor_docs, share_per_mille)
     removed = lines.join(bad, ["host", "line"]).groupBy("row_key", "line").agg(F.max("chars").alias("chars"), F.max("line_chars").alias("line_chars"))

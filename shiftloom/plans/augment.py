@@ -118,6 +118,12 @@ def plan_samples(df: DataFrame, o: AugmentOptions = AugmentOptions()) -> DataFra
     return df.withColumn("must_keep", keep)
 
 
+def attach_rewrites(planned: DataFrame, rewrites: DataFrame) -> DataFrame:
+    """Adds ``rewritten`` from (sample_id, slot, text): slot 0 is the first turn; samples without one keep null."""
+    first = rewrites.where("slot = 0").groupBy("sample_id").agg(F.max("text").alias("rewritten"))
+    return planned.join(first, "sample_id", "left")
+
+
 def assemble(planned: DataFrame, o: AugmentOptions = AugmentOptions(), rewrite: str | None = None) -> DataFrame:
     """Samples with turns; a ``rewrite`` column (text of the first turn) is taken where it keeps the required literals."""
     key = F.col("sample_id")

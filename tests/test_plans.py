@@ -128,6 +128,15 @@ def test_samples_by_mix_and_placement(spark):
     assert summary.degraded == 5 and summary.two_turn == 0
 
 
+def test_rewrites_must_keep_the_spectrum(spark):
+    o = augment.AugmentOptions(mix=mix(none=1.0), modality_drop=0.0)
+    planned = augment.plan_samples(records(spark, 3), o)
+    text = planned.orderBy("sample_id").first().spectrum_text
+    rewrites = spark.createDataFrame([("r0", 0, f"Dear all, {text} please"), ("r1", 0, "lost it"), ("r1", 1, text)], "sample_id string, slot int, text string")
+    got = {r.source_sample_id: r for r in augment.assemble(augment.attach_rewrites(planned, rewrites), o, "rewritten").collect()}
+    assert [got[k].augmentation.llm_status for k in ("r0", "r1", "r2")] == ["llm", "rejected_information_loss", "template"] and got["r0"].turns[0].content.startswith("Dear all")
+
+
 def test_samples_are_repeatable_and_noise_changes_text(spark):
     o = augment.AugmentOptions(noise=1.0, strength=1.0, modes=("digits_only",), modality_drop=0.0, seed=4)
     a = augment.plan_samples(records(spark), o).orderBy("sample_id")
@@ -156,6 +165,18 @@ def test_scripted_followup_and_streams(spark, tmp_path):
     assert sorted((r.streak, r.warn, r.recovered) for r in spark.table("streaks").collect()) == [(0, False, True), (1, False, False), (2, False, False), (3, True, False)]
 
 
+def test_replay_batch_and_stream(spark, tmp_path):
+    rows = spark.createDataFrame([("i", ["a", " ", "b"]), ("j", None)], "instance string, turns array<string>")
+    got = sorted((r.instance, r.step, r.content, r.done) for r in replay.replay(rows, "instance", "turns").collect())
+    assert got == [("i", 0, "a", False), ("i", 1, "b", False), ("i", 2, "", True), ("j", 0, "", True)]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text("\n".join(json.dumps({"instance": "i", "turns": t}) for t in (["a", " "], None, None)))
+    stream = spark.readStream.schema("instance string, turns array<string>").json(str(tmp_path / "in"))
+    q = replay.replay_stream(stream).writeStream.format("memory").queryName("replayed").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    assert sorted((r.content, r.done) for r in spark.table("replayed").collect()) == [("", True), ("", True), ("a", False)]
+
+
 def test_sources(spark, tmp_path):
     p = lambda n: str(tmp_path / n)
     (tmp_path / "a.csv").write_bytes("name,v\n乙醇,NA\nx,\"a\nb\"\n".encode("gb18030"))

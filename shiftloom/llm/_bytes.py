@@ -224,7 +224,7 @@ def replace_column(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch
 
 def text_array(parts: list[bytes]) -> pa.Array:
     """UTF-8 byte strings as a string column."""
-    return pa.array(parts, pa.binary()).cast(pa.string())
+    return pa.array(parts, pa.binary()).view(pa.string())
 
 
 def code_points(parts: list[bytes]) -> np.ndarray:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,19 +18,34 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder, which all executors share; set here only where none is named (tests on one machine)."""
+    sc = spark.sparkContext
+    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+        sc.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "shiftloom-checkpoints"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cuts lineage with a reliable checkpoint in the cluster's shared folder.
-
-    The folder is the session's ``spark.checkpoint.dir``; only where none is set (tests on one
-    machine) a fresh folder is made.
-    """
-    sc = df.sparkSession.sparkContext
-    if not (sc._jsc.sc().getCheckpointDir().isDefined()):
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-        sc.setCheckpointDir(shared or os.path.join(tempfile.gettempdir(), "shiftloom-checkpoints"))
+    """Cuts lineage with a reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> tuple[DataFrame, str]:
+    """The rows written as Parquet in the shared folder and read again, and where they are."""
+    path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path), path
+
+
+def forget(spark: SparkSession, path: str) -> None:
+    """Removes what ``stored`` wrote."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The two columns that text operators read; extra columns go."""
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))

@@ -86,8 +86,7 @@ def units(buf: np.ndarray, off: np.ndarray, length: int = LENGTH, gram: int = GR
     if not windows.sum():
         return none.astype(np.uint64), none.astype(np.uint64), none, none, none
     h = gram_hashes(buf, n, gram)
-    # the least hash, the leftmost on a tie, among the length - gram + 1 grams of each window: hashes
-    # carry their place modulo a power of two in the low bits only to break ties by position
+    # the least hash among the length - gram + 1 grams of each window, by doubling
     span = length - gram + 1
     low, have, at = h, 1, 0
     best = None

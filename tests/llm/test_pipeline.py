@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -5,7 +6,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from shiftloom.llm import registry
+from shiftloom.llm import near_copies, registry
+from tests.llm.conftest import prose
 
 DATA = "/root/testdata/sf0.001"
 WORD = "[^\x00-\x2f\x3a-\x60\x7b-\x7f]+"
@@ -49,3 +51,45 @@ def test_run_and_empty_table(spark, empty):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, DATA)
     assert docs.count() == 0
+
+
+def shingles(t):
+    w = re.findall("[^\x20\x09-\x0d]+", (t or "").translate({k: k + 32 for k in range(65, 91)}))
+    return {" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def first_of_near_copies(rows):
+    sets, root = [shingles(t) for _, t in rows], list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 5 * len(a & sets[j]) >= 4 * len(a | sets[j]):
+                root[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        least[find(i)] = min(least.get(find(i), (True, 0)), (d is None, d or 0))
+    return sorted(str(None if none else d) for none, d in least.values())
+
+
+def test_near_dedup_finds_every_pair_at_jaccard_four_fifths(spark, odd_docs, no_docs):
+    r, rows, line = random.Random(11), [], prose(1, 30)
+    for i in range(25):
+        w = prose(700 + i, r.randint(25, 160)).split()
+        rows.append((i * 10, " ".join(w) + (" " + line if i % 3 else "")))
+        for j in range(1, 6):
+            v = list(w)
+            for at in r.sample(range(len(v)), r.randint(1, 1 + len(v) // 25)):
+                v[at] = f"changed{j}"
+            rows.append((i * 10 + j, " ".join(v[: len(v) - r.randint(0, 3)]) + (" " + line if i % 3 else "")))
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    near_dedup = dict(corpus_pipeline.STAGES)["near_dedup"]
+    got = sorted(str(x.doc_id) for x in near_dedup(spark, docs, DATA).collect())
+    assert got == first_of_near_copies(rows) and 25 < len(got) < len(rows)
+    odd = near_copies.keep_first(odd_docs)
+    assert odd.columns == odd_docs.columns and near_copies.keep_first(no_docs).count() == 0
+    assert sorted(str(x.doc_id) for x in odd.collect()) == first_of_near_copies([(x.doc_id, x.text) for x in odd_docs.collect()])

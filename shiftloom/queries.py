@@ -107,10 +107,12 @@ def union_sources(spark, d):
 
 
 def _reviewed(spark, d):
-    docs = t(spark, d, "documents").join(t(spark, d, "labels"), "doc_id", "left")
+    # the whole text is cleaned before the join; only whether anything is left of it is asked
+    docs = t(spark, d, "documents").select("doc_id", "source", "lang", F.substring(clean.clean_str(F.col("text")), 1, 1).alias("body"))
+    docs = docs.join(t(spark, d, "labels"), "doc_id", "left")
     options = ingest.IngestOptions(nmr_types=("en", "de", "fr"), quality="same_molecule")
     mark = F.when(F.col("toxic") == 1, " Wrong ").when(F.col("toxic") == 0, "right")
-    return docs.withColumn("drop_reason", ingest.drop_reason(clean.clean_str(F.substring("text", 1, 40)), F.col("lang"), F.col("quality") == 1, F.lit(None).cast("boolean"), [clean.clean_str(mark)], options))
+    return docs.withColumn("drop_reason", ingest.drop_reason(F.col("body"), F.col("lang"), F.col("quality") == 1, F.lit(None).cast("boolean"), [clean.clean_str(mark)], options))
 
 
 _REASON = "CASE WHEN trim(coalesce(text, '')) = '' THEN 'empty' WHEN coalesce(lang, '') NOT IN ('en', 'de', 'fr') THEN 'type' WHEN NOT coalesce(quality = 1, TRUE) THEN 'quality' WHEN coalesce(toxic, 0) = 1 THEN 'qc' END"

@@ -35,6 +35,15 @@ def test_query_equals_its_sql(spark, con, name):
     assert got == sorted(tuple(plain(x[names.index(c)]) for c in columns) for x in r.fetchall())
 
 
+def test_reasons_read_the_whole_text(spark, tmp_path):
+    rows = [(1, " " * 40 + "late words"), (2, "nan" + " " * 40 + "words"), (3, " " * 60), (4, "\n" * 45 + "x"), (5, "plain")]
+    spark.createDataFrame([(i, t, "en", "a") for i, t in rows], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert {r.reason: r.n for r in queries.drop_reasons(spark, str(tmp_path)).collect()} == {"empty": 1, "kept": 4}
+    whole = queries.ingest_summary(spark, str(tmp_path)).where("source IS NULL AND lang IS NULL").first()
+    assert (whole.n_rows, whole.kept, whole.dropped_empty) == (5, 4, 1)
+
+
 def test_entry_and_registry_without_the_llm_folder(tmp_path):
     import shutil
     import subprocess

@@ -1,7 +1,7 @@
-"""A small SMILES reader: atoms, bonds, implicit hydrogens, rings, and pattern matching by backtracking.
+"""A small SMILES reader: atoms, bonds, implicit hydrogens, and rings.
 
 It covers the organic subset, brackets, ring closures, branches, aromatic atoms and dots. Stereo marks are
-read and ignored. It is no canonicaliser: two spellings of a molecule stay two texts.
+read and ignored.
 """
 
 from __future__ import annotations
@@ -193,32 +193,3 @@ def read(text: str) -> Molecule:
         mol.hydrogens(i)
     return mol
 
-
-def matches(pattern: Molecule, mol: Molecule, least_h: tuple[int | None, ...], most: int = 64) -> int:
-    """How many atom sets of ``mol`` the pattern fits (at most ``most``): elements, bond orders (0: any), least hydrogens."""
-    found: set[frozenset[int]] = set()
-    order = list(range(len(pattern.atoms)))
-    hydrogen = [mol.hydrogens(i) for i in range(len(mol.atoms))]
-
-    def fits(p: int, m: int, taken: dict[int, int]) -> bool:
-        a, b = pattern.atoms[p], mol.atoms[m]
-        if a.element not in ("*", b.element) or (a.element != "*" and a.aromatic != b.aromatic) or a.charge != b.charge and a.charge:
-            return False
-        if least_h[p] is not None and hydrogen[m] < least_h[p]:
-            return False
-        return all(taken[q] in b.neighbours and (not o or b.neighbours[taken[q]] == o) for q, o in a.neighbours.items() if q in taken)
-
-    def grow(k: int, taken: dict[int, int]) -> None:
-        if len(found) >= most:
-            return
-        if k == len(order):
-            found.add(frozenset(taken.values()))
-            return
-        near = [taken[q] for q in pattern.atoms[k].neighbours if q in taken]
-        options = mol.atoms[near[0]].neighbours if near else range(len(mol.atoms))
-        for m in options:
-            if m not in taken.values() and fits(k, m, taken):
-                grow(k + 1, taken | {k: m})
-
-    grow(0, {})
-    return len(found)

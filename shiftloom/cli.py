@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from .operators import cluster, dataset, ingest
 from .plans import augment
 from .plans import compile as artifacts
+from .plans.shared import checkpointed
 from .session import session
 from .sources import sinks, tables
 from .tools.registry import DEFAULT_NAMES, default_registry
@@ -55,10 +56,12 @@ def add_clusters(spark: SparkSession, a: argparse.Namespace) -> dict:
 
         for b in batches:
             rows = [get("graph").features(s or "", a.bits) for s in b.column("gt_smiles").to_pylist()]
-            vector = [None if not ok else [*(v := np.unpackbits(np.frombuffer(bits, np.uint8)).astype(float)) / max(np.sqrt(v.sum()), 1.0), *(0.35 * np.array(props) / 100)] for bits, props, ok in rows]
-            yield pa.RecordBatch.from_arrays([b.column("sample_id"), pa.array(vector, pa.list_(pa.float64()))], names=["sample_id", "v"])
+            bits = [np.unpackbits(np.frombuffer(x, np.uint8)).astype(float).tolist() if ok else None for x, _, ok in rows]
+            yield pa.RecordBatch.from_arrays([b.column("sample_id"), pa.array(bits, pa.list_(pa.float64())), pa.array([p if ok else None for _, p, ok in rows], pa.list_(pa.float64()))], names=["sample_id", "bits", "properties"])
 
-    vectors = df.select("sample_id", "gt_smiles").mapInArrow(features, "sample_id string, v array<double>")
+    raw = checkpointed(df.select("sample_id", "gt_smiles").mapInArrow(features, "sample_id string, bits array<double>, properties array<double>"))
+    fitted = cluster.standardized(F.col("properties"), *cluster.moments(raw.where("properties is not null"), "properties"))
+    vectors = raw.select("sample_id", F.when(F.col("bits").isNotNull(), cluster.joined_features(F.col("bits"), fitted)).alias("v"))
     labels = cluster.kmeans(vectors, "sample_id", "v", a.k, a.seed)
     sinks.publish(df.join(labels, "sample_id", "left"), a.table)
     return {r["cluster"]: r["n_rows"] for r in dataset.sizes(spark.read.parquet(a.table), "cluster").collect()}

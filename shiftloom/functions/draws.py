@@ -36,3 +36,8 @@ def weighted(weights: dict[str, float], draw: Column) -> Column:
         test = draw * F.lit(float(total)) <= F.lit(float(running))
         out = F.when(test, name) if out is None else out.when(test, name)
     return F.lit(names[-1]) if out is None else out.otherwise(names[-1])
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

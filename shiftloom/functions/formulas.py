@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .draws import draw_bits
+from .draws import draw_bits, let
 
 TOKEN = r"([A-Z][a-z]?)(\d*)"
 #: Edits by name: element, change (fixed values).
@@ -41,11 +41,6 @@ def hill(count_map: Column) -> Column:
     return F.array_join(F.transform(order, lambda x: F.concat(x["e"], F.when(x["n"] == 1, "").otherwise(x["n"].cast("string")))), "")
 
 
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def perturb(formula: Column, seed: int | str, key: Column) -> Column:
     """struct<formula, applied, operation, deltas>: one valid edit of EDITS by a draw; others leave the formula alone."""
     draw = draw_bits(seed, "formula", key)
@@ -60,8 +55,8 @@ def perturb(formula: Column, seed: int | str, key: Column) -> Column:
     def edited(m: Column) -> Column:
         pick = lambda v: F.get(v, (draw % F.greatest(F.size(v), F.lit(1))).cast("int"))
         merge = lambda x: F.map_zip_with(m, x["deltas"], lambda k, a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)))
-        return _let(_let(valid(m), pick), lambda x: F.when(x.isNotNull(), F.struct(hill(merge(x)).alias("formula"), F.lit(True).alias("applied"), x["operation"].alias("operation"), x["deltas"].alias("deltas"))))
+        return let(let(valid(m), pick), lambda x: F.when(x.isNotNull(), F.struct(hill(merge(x)).alias("formula"), F.lit(True).alias("applied"), x["operation"].alias("operation"), x["deltas"].alias("deltas"))))
 
-    result = F.when(supported(formula), _let(counts(formula), edited))
+    result = F.when(supported(formula), let(counts(formula), edited))
     same = F.struct(formula.alias("formula"), F.lit(False).alias("applied"), F.when(supported(formula), "no_valid_perturbation").otherwise("unsupported_formula").alias("operation"), F.lit(None).cast("map<string,int>").alias("deltas"))
     return F.coalesce(result, same)

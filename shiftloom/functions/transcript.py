@@ -1,8 +1,8 @@
 """Tool-using transcripts: Column expressions for the regular part, Arrow functions for full fidelity.
 
 A flat transcript holds ``<tool_call>{...}</tool_call>`` blocks; the answer is a JSON object with a
-``smiles`` list. The Python functions here are the row-level grammar; ``answers`` and ``turns`` run them on
-Arrow batches.
+``smiles`` list. ``marks`` finds the calls, fenced blocks and answer objects of a text once; turns, the answer's region
+and the ranked answers are read off those marks. ``answers`` and ``turns`` run the grammar on Arrow batches.
 """
 
 from __future__ import annotations
@@ -10,6 +10,8 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -67,6 +69,23 @@ def last_assistant(df: DataFrame, conversation: str, turn: str, role: str, text:
 # --- full grammar, on rows ------------------------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class Mark:
+    kind: str
+    start: int
+    end: int
+    body: str
+
+
+#: What a text is searched for, the most trusted form of an answer last.
+GRAMMAR = (("call", re.compile(CALL), 1), ("fence", re.compile(FENCE), 1), ("object", re.compile(ANSWER), 0))
+
+
+def marks(text: str) -> list[Mark]:
+    """All calls, fenced blocks and answer objects of a text in order; those before the last call's end belong to it or to a tool."""
+    return sorted((Mark(kind, m.start(), m.end(), m[group].strip()) for kind, pattern, group in GRAMMAR for m in pattern.finditer(text)), key=lambda m: m.start)
+
+
 def load(text: str):
     """(ok, value): JSON or nothing."""
     try:
@@ -75,74 +94,67 @@ def load(text: str):
         return False, None
 
 
-def answer_values(value) -> list[str] | None:
-    """Answers of a decoded object: one string, strings, or objects with smiles or canonical_smiles; null without the key."""
-    if not (isinstance(value, dict) and "smiles" in value):
-        return None
-    got = value["smiles"]
-    if isinstance(got, str):
-        got = [got]
-    if not isinstance(got, list):
-        return None
-    named = ([x] if isinstance(x, str) else [x[k] for k in ("smiles", "canonical_smiles") if isinstance(x.get(k), str) and x[k].strip()][:1] if isinstance(x, dict) else [] for x in got)
-    return [s.strip() for part in named for s in part if s.strip()]
+def named(item: Any) -> str:
+    """One answer of a list: text, or an object's smiles or canonical_smiles; empty if it is neither."""
+    options = [item] if isinstance(item, str) else [item.get(k) for k in ("smiles", "canonical_smiles")] if isinstance(item, dict) else []
+    return next((o.strip() for o in options if isinstance(o, str) and o.strip()), "")
 
 
-def tool_payload_and_answer(text: str) -> tuple[str, str]:
-    """Splits what follows the last call: a tool's payload, then the answer."""
-    text = text.strip()
-    spans = [m.start() for m in re.finditer(ANSWER, text)][-1:] or [m.start() for m in re.finditer(FENCE, text) if answer_values(load(m[1].strip())[1]) is not None][-1:]
-    if spans:
-        return text[: spans[0]].strip(), text[spans[0] :].strip()
-    value = load(text)[1] if text.startswith("{") else None
-    result = isinstance(value, dict) and {"completion", "status"} <= value.keys()
-    return (text, "") if result else ("", text)
+def listed(blob: str) -> list[str] | None:
+    """The answers that a JSON text lists under ``smiles`` (one text or a list); null if it is no such object."""
+    value = load(blob)[1]
+    got = value.get("smiles") if isinstance(value, dict) else None
+    got = [got] if isinstance(got, str) else got
+    return [n for x in got if (n := named(x))] if isinstance(got, list) else None
 
 
-def answer_region(text: str) -> str:
-    end = max((m.end() for m in re.finditer(CALL, text)), default=0)
-    return tool_payload_and_answer(text[end:])[1]
+def answer_begin(text: str, found: list[Mark], tail: int) -> int:
+    """Where the answer begins in what stands after ``tail``: at the last answer object, else at the last fenced one, else at once.
+
+    A tool's result alone (an object with completion and status) holds no answer.
+    """
+    later = [m for m in found if m.start >= tail]
+    spots = [m.start for m in later if m.kind == "object"] or [m.start for m in later if m.kind == "fence" and listed(m.body) is not None]
+    if spots:
+        return spots[-1]
+    value = load(text[tail:].strip())[1]
+    return len(text) if isinstance(value, dict) and {"completion", "status"} <= value.keys() else tail
 
 
 def ranked_answers(text: str | None) -> list[str]:
-    """Answers in order: later blobs first (inline objects, fenced blocks, the whole region)."""
-    region = answer_region(text or "")
-    if not region:
-        return []
-    blobs = [region, *(m[1].strip() for m in re.finditer(FENCE, region)), *(m[0] for m in re.finditer(ANSWER, region))]
-    for blob in reversed(blobs):
-        got = answer_values(load(blob)[1]) if blob else None
-        if got is not None:
-            return got
-    return []
+    """Answers in order: of the forms after the last call, objects count before fenced blocks and those before the whole, later ones first."""
+    text = text or ""
+    found = marks(text)
+    begin = answer_begin(text, found, max((m.end for m in found if m.kind == "call"), default=0))
+    forms = sorted((m for m in found if m.kind != "call" and m.start >= begin), key=lambda m: (m.kind == "object", m.start), reverse=True)
+    blobs = [*(m.body for m in forms), text[begin:].strip()]
+    return next((got for b in blobs if b and (got := listed(b)) is not None), [])
 
 
 def split_turns(text: str | None) -> list[dict[str, str]]:
-    """A flat transcript as role-tagged turns; text before the first call is not kept (scores depend on it)."""
+    """A flat transcript as role-tagged turns: a call is the assistant's, what follows it the tool's, the answer the assistant's.
+
+    Text before the first call is not kept (scores depend on it).
+    """
     text = text or ""
-    calls = list(re.finditer(CALL, text))
+    found = marks(text)
+    calls = [m for m in found if m.kind == "call"]
     if not calls:
         return [{"role": "assistant", "content": text}]
-    out: list[dict[str, str]] = []
-    for k, call in enumerate(calls):
-        out.append({"role": "assistant", "content": call[0]})
-        after = text[call.end() : calls[k + 1].start() if k + 1 < len(calls) else len(text)].strip()
-        parts = (("tool", after),) if k + 1 < len(calls) else tuple(zip(("tool", "assistant"), tool_payload_and_answer(after), strict=True))
-        out += [{"role": r, "content": c} for r, c in parts if c]
-    return out
+    begin = answer_begin(text, found, calls[-1].end)
+    said = [part for m, until in zip(calls, [*(c.start for c in calls[1:]), begin], strict=True) for part in (("assistant", text[m.start : m.end]), ("tool", text[m.end : until].strip()))]
+    return [{"role": r, "content": c} for r, c in [*said, ("assistant", text[begin:].strip())] if c]
 
 
 def last_json(text: str | None):
-    """The last complete JSON value that starts in a free text, as text; null without one."""
-    decoder, found, at = json.JSONDecoder(), None, 0
-    text = text or ""
-    while (m := re.compile(r'[\[{"\-0-9tfn]').search(text, at)) is not None:
+    """The JSON object or array that starts last in a free text, as text; null without one."""
+    decoder, text = json.JSONDecoder(), text or ""
+    for m in reversed(list(re.finditer(r"[\[{]", text))):
         try:
-            value, at = decoder.raw_decode(text, m.start())
-            found = json.dumps(value, ensure_ascii=False)
+            return json.dumps(decoder.raw_decode(text, m.start())[0], ensure_ascii=False)
         except ValueError:
-            at = m.start() + 1
-    return found
+            continue
+    return None
 
 
 def segments(text: str | None) -> list[dict[str, str]]:

@@ -2,19 +2,32 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def standardize(df: DataFrame, key: str, vector: str) -> DataFrame:
-    """(key, dim, value): (x - mean) / population deviation for each dimension; constant dimensions give 0.
+def moments(df: DataFrame, vector: str) -> tuple[list[float], list[float]]:
+    """Means and population deviations of the dimensions: one row of aggregates."""
+    width = df.agg(F.max(F.size(vector)).alias("n")).first()["n"] or 0
+    x = [F.get(F.col(vector), F.lit(i)).cast("double") for i in range(width)]
+    row = df.agg(*[F.avg(c) for c in x], *[F.stddev_pop(c) for c in x]).first() if width else ()
+    return [float(v or 0.0) for v in row[:width]], [float(v or 0.0) for v in row[width:]]
+
+
+def standardized(vector: Column, means: list[float], deviations: list[float]) -> Column:
+    """(x - mean) / deviation for each dimension; constant dimensions give 0."""
+    m, s = (F.array(*[F.lit(v) for v in values]) for values in (means, deviations))
+    return F.transform(vector, lambda x, i: F.when(F.get(s, i) > 0, (x - F.get(m, i)) / F.get(s, i)).otherwise(0.0))
+
 
-    Means and deviations are partial aggregates; the statistics (a row a dimension) join back.
-    """
-    long = df.select(key, F.posexplode(vector).alias("dim", "x"))
-    stats = long.groupBy("dim").agg(F.avg("x").alias("m"), F.stddev_pop("x").alias("s"))
-    return long.join(stats, "dim").select(key, "dim", F.when(F.col("s") > 0, (F.col("x") - F.col("m")) / F.col("s")).otherwise(0.0).alias("value"))
+def standardize(df: DataFrame, key: str, vector: str) -> DataFrame:
+    """(key, dim, value): standardised with fitted means and population deviations, no shuffle of the vectors."""
+    return df.select(key, F.posexplode(standardized(F.col(vector), *moments(df, vector))).alias("dim", "value"))
 
 
 def l2_normalized(v: Column) -> Column:
@@ -37,10 +50,11 @@ def unpacked_bits(packed: np.ndarray, width: int) -> np.ndarray:
 
 
 def centroids(df: DataFrame, group: str, vector: str) -> DataFrame:
-    """(group, centroid): mean vectors by partial aggregation of (group, dimension)."""
-    long = df.where(F.col(vector).isNotNull()).select(group, F.posexplode(vector).alias("dim", "x"))
-    means = long.groupBy(group, "dim").agg(F.avg("x").alias("m"))
-    return means.groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct("dim", "m"))), lambda x: x["m"]).alias("centroid"))
+    """(group, centroid): means of all dimensions in one partial aggregate a group; null vectors are left out."""
+    valid = df.where(F.col(vector).isNotNull())
+    width = valid.agg(F.max(F.size(vector)).alias("n")).first()["n"] or 0
+    means = [F.avg(F.get(F.col(vector), F.lit(i))) for i in range(width)]
+    return valid.groupBy(group).agg(F.array(*means).cast("array<double>").alias("centroid"))
 
 
 def distance(a: Column, b: Column) -> Column:
@@ -72,14 +86,28 @@ def kmeans(df: DataFrame, key: str, vector: str, k: int, seed: int = 7, steps: i
 
 def svd_projection(df: DataFrame, key: str, vector: str, dims: int = 2) -> DataFrame:
     """(key, point): truncated, uncentred SVD; the sign of each axis makes its largest component positive."""
-    from pyspark.mllib.linalg import Vectors
-    from pyspark.mllib.linalg.distributed import RowMatrix
-
     if dims not in (2, 3):
         raise ValueError("dims must be 2 or 3")
-    rows = df.where(F.col(vector).isNotNull()).select(vector).rdd.map(lambda r: Vectors.dense([float(x) for x in r[0]]))
-    v = RowMatrix(rows).computeSVD(dims).V.toArray()
+    # the small side of the matrix, X'X: each batch gives its cells, which are summed by cell
+    valid = df.where(F.col(vector).isNotNull())
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = 0.0
+        for b in batches:
+            lists = b.column("v")
+            if len(lists):
+                x = np.asarray(lists.flatten(), dtype=np.float64).reshape(len(lists), -1)
+                total = total + x.T @ x
+        if not np.isscalar(total):
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size)), pa.array(total.ravel())], names=["cell", "value"])
+
+    found = valid.select(F.col(vector).cast("array<double>").alias("v")).mapInArrow(cells, "cell bigint, value double").groupBy("cell").agg(F.sum("value").alias("value")).toArrow()
+    width = math.isqrt(found.num_rows)
+    gram = np.zeros(width * width)
+    gram[np.asarray(found.column("cell"))] = np.asarray(found.column("value"))
+    gram = gram.reshape(width, width)
+    v = np.linalg.eigh(gram)[1][:, ::-1][:, :dims]
     v = v * np.sign(v[np.abs(v).argmax(axis=0), np.arange(v.shape[1])])
-    axes = [F.array(*[F.lit(float(x)) for x in v[:, j]]) for j in range(v.shape[1])]
-    dot = lambda a: F.aggregate(F.zip_with(F.col(vector).cast("array<double>"), a, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    return df.where(F.col(vector).isNotNull()).select(key, F.array(*[dot(a) for a in axes]).alias("point"))
+    axes = [F.array(*[F.lit(float(a)) for a in v[:, j]]) for j in range(v.shape[1])]
+    dot = lambda a: F.aggregate(F.zip_with(F.col(vector).cast("array<double>"), a, lambda p, q: p * q), F.lit(0.0), lambda s, p: s + p)
+    return valid.select(key, F.array(*[dot(a) for a in axes]).alias("point"))

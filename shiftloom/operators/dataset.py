@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from ..functions.draws import draw_bits
+from ..plans.shared import checkpointed
 
 
 def in_memory(spark, records: Sequence[dict], schema: str) -> DataFrame:
@@ -27,28 +28,38 @@ def in_memory(spark, records: Sequence[dict], schema: str) -> DataFrame:
 def positions(df: DataFrame, order: Sequence[str], name: str = "row_id") -> DataFrame:
     """Adds 0-based positions in a total order without gathering rows in one task.
 
-    Rows are range-partitioned and sorted; each partition's offset comes from the counts of those
-    before it (a few numbers on the driver).
+    Rows are range-partitioned, sorted and stored with their partition and place once; the counts of
+    partitions (a row each) give the offsets. Bounds of a range partitioning are sampled, so rows that were
+    partitioned anew for the count and for the numbering would not agree; stored rows do.
     """
     spark = df.sparkSession
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
-    ranged = ranged.withColumn("_within", F.monotonically_increasing_id() - F.shiftleft(F.col("_part").cast("bigint"), 33))
-    sizes = {r["_part"]: r["n"] for r in ranged.groupBy("_part").agg(F.count("*").alias("n")).collect()}
-    offsets, total = {}, 0
-    for p in sorted(sizes):
-        offsets[p], total = total, total + sizes[p]
-    if not offsets:
-        return df.withColumn(name, F.lit(0).cast("bigint"))  # no rows
-    lookup = F.create_map(*[F.lit(x) for p, o in offsets.items() for x in (p, o)])
-    return ranged.withColumn(name, (F.element_at(lookup, F.col("_part")) + F.col("_within")).cast("bigint")).drop("_part", "_within")
+    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id())
+    ranged = checkpointed(ranged.withColumn("__within", F.monotonically_increasing_id() - F.shiftleft(F.col("__part").cast("bigint"), 33)))
+    sizes, offsets, total = ranged.groupBy("__part").agg(F.count("*").alias("n")).collect(), [], 0
+    for r in sorted(sizes, key=lambda r: r["__part"]):
+        offsets.append((r["__part"], total))
+        total += r["n"]
+    lookup = spark.createDataFrame(offsets, "__part int, __before bigint")  # a row a partition
+    return ranged.join(F.broadcast(lookup), "__part").withColumn(name, (F.col("__before") + F.col("__within")).cast("bigint")).drop("__part", "__within", "__before")
+
+
+#: Cuts up to this many rows are a distributed top-k; larger ones are numbered, so no task holds the cut.
+TOP_K = 20_000
+
+
+def first_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
+    """The first n rows of a total order, whatever n."""
+    if n <= TOP_K:
+        return df.orderBy(*order).limit(n)
+    return positions(df, order, "__place").where(F.col("__place") < n).drop("__place")
 
 
 def head(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
     """The first n rows of a total order (a distributed top-k); n beyond the size gives all."""
     if n < 0:
         raise ValueError("n must not be negative")
-    return df.orderBy(*order).limit(n)
+    return first_rows(df, n, order)
 
 
 take = head
@@ -91,37 +102,45 @@ def sample(df: DataFrame, num: int, seed: int | str, key: str, cluster: str | No
     """
     if num < 0:
         raise ValueError("sample size must not be negative")
-    drawn = df.withColumn("_h", draw_bits(seed, "sample", F.col(key)))
+    drawn = df.withColumn("__h", draw_bits(seed, "sample", F.col(key)))
     if cluster is None or not df.where(F.col(cluster).isNull()).isEmpty():
-        return drawn.orderBy("_h", key).limit(num).drop("_h")
-    ranked = drawn.withColumn("_r", F.row_number().over(W.partitionBy(cluster).orderBy("_h", key))).where(F.col("_r") <= num)
-    return ranked.orderBy("_r", "_h", key).limit(num).drop("_h", "_r")
+        return first_rows(drawn, num, ["__h", key]).drop("__h")
+    ranked = drawn.withColumn("__r", F.row_number().over(W.partitionBy(cluster).orderBy("__h", key))).where(F.col("__r") <= num)
+    return first_rows(ranked, num, ["__r", "__h", key]).drop("__h", "__r")
 
 
 def balanced_cut(df: DataFrame, most: int, seed: int | str, key: str, cluster: str) -> DataFrame:
     """At most ``most`` rows for a plot: max(most // k, 1) a cluster first, the rest at random."""
     k = df.select(cluster).distinct().count()
     quota = max(most // max(k, 1), 1)
-    drawn = df.withColumn("_h", draw_bits(seed, "cut", F.col(key)))
-    ranked = drawn.withColumn("_r", F.row_number().over(W.partitionBy(cluster).orderBy("_h", key))).where(F.col("_r") <= max(most, quota))
-    return ranked.orderBy((F.col("_r") > quota).cast("int"), "_h", key).limit(most).drop("_h", "_r")
+    drawn = df.withColumn("__h", draw_bits(seed, "cut", F.col(key)))
+    ranked = drawn.withColumn("__r", F.row_number().over(W.partitionBy(cluster).orderBy("__h", key))).where(F.col("__r") <= max(most, quota))
+    later = ranked.withColumn("__later", (F.col("__r") > quota).cast("int"))
+    return first_rows(later, most, ["__later", "__h", key]).drop("__h", "__r", "__later")
 
 
 def disjoint_splits(df: DataFrame, sizes: dict[str, int], seed: int | str, key: str) -> DataFrame:
     """Adds ``split``: contiguous windows of one keyed shuffle; rows beyond the last window go.
 
-    A pool smaller than the windows raises.
+    A pool smaller than the windows raises. Only rows below a draw that surely holds the windows are
+    sorted: the draw is uniform, so the bound is the windows' share of the pool and a margin, raised until
+    enough rows are below it.
     """
-    need = sum(sizes.values())
-    cut = df.withColumn("_h", draw_bits(seed, "split", F.col(key))).orderBy("_h", key).limit(need)
-    cut = positions(cut, ["_h", key], "_i")
-    if cut.count() < need:
+    need, total = sum(sizes.values()), df.count()
+    if total < need:
         raise ValueError(f"the pool holds fewer than the {need} rows that the splits need")
+    drawn, bound = df.withColumn("__h", draw_bits(seed, "split", F.col(key))), 1.0
+    if need * 4 < total:
+        bound = 1.1 * need / total + 1000 / total
+        while bound < 1 and drawn.where(F.col("__h") < int(bound * 2**32)).count() < need:
+            bound *= 2
+    cut = drawn.where(F.col("__h") < int(bound * 2**32)) if bound < 1 else drawn
+    cut = positions(cut, ["__h", key], "__i").where(F.col("__i") < need)
     name, at = None, 0
     for split, size in sizes.items():
         at += size
-        name = F.when(F.col("_i") < at, split) if name is None else name.when(F.col("_i") < at, split)
-    return cut.withColumn("split", name).drop("_h", "_i")
+        name = F.when(F.col("__i") < at, split) if name is None else name.when(F.col("__i") < at, split)
+    return cut.withColumn("split", name).drop("__h", "__i")
 
 
 def where(df: DataFrame, predicate: Column | Callable[[dict], bool]) -> DataFrame:

@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 STAGES = ("properties", "names", "fragments", "reactions")
 
 
 def latest(cache: DataFrame, key: str = "key", version: str = "version") -> DataFrame:
-    """The last entry of each key."""
-    return cache.withColumn("_n", F.row_number().over(W.partitionBy(key).orderBy(F.desc(version)))).where("_n = 1").drop("_n")
+    """The last entry of each key (a partial aggregate)."""
+    return cache.groupBy(key).agg(F.max_by(F.struct(*cache.columns), version).alias("__r")).select("__r.*")
 
 
 def pending(rows: DataFrame, cache: DataFrame, needed: list[str], key: str = "key") -> DataFrame:
     """(key, missing): distinct non-empty keys whose cached stages do not cover the needed ones."""
     need = F.array(*[F.lit(s) for s in needed])
-    keys = rows.where(F.coalesce(F.col(key), F.lit("")) != "").select(key).distinct()
+    keys = rows.where(F.coalesce(F.col(key).cast("string"), F.lit("")) != "").select(key).distinct()
     have = F.coalesce(F.col("stages"), F.array().cast("array<string>"))
     return keys.join(cache.select(key, "stages"), key, "left").withColumn("missing", F.array_except(need, have)).where(F.size("missing") > 0).select(key, "missing")
 
@@ -47,3 +48,15 @@ def coverage(rows: DataFrame, cache: DataFrame, key: str = "key") -> DataFrame:
     """Rows, distinct keys, hits and misses against the cache."""
     j = rows.select(key).join(cache.select(key, F.lit(True).alias("_hit")), key, "left")
     return j.agg(F.count("*").alias("n_rows"), F.countDistinct(key).alias("n_keys"), F.count_if("_hit").alias("n_hits"), F.count_if(F.col("_hit").isNull()).alias("n_misses"))
+
+
+def recompute(rows: DataFrame, cache: DataFrame, needed: list[str], compute: Callable[[DataFrame], DataFrame], payloads: list[str], key: str = "key") -> tuple[DataFrame, DataFrame]:
+    """(rows with payloads, new cache entries): only keys that lack a needed stage are computed, each once.
+
+    ``compute`` takes (key, missing) and returns the key and payload columns; a key that it leaves out counts as looked up.
+    """
+    todo = pending(rows, cache, needed, key)
+    got = todo.join(compute(todo), key, "left").withColumn("stages", F.array(*[F.lit(s) for s in needed]))
+    new = refresh(cache, got, payloads, key)
+    whole = cache.join(new.select(key), key, "left_anti").unionByName(new)
+    return apply_cache(rows, whole, payloads, key), new

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -49,26 +51,34 @@ def confidence(score: Column, coverage: Column) -> Column:
     return F.when((score >= 0.8) & (coverage >= 0.75), "high").when(score >= 0.45, "medium").otherwise("low")
 
 
-def overlap_search(index: DataFrame, queries: DataFrame, records: DataFrame, top: int) -> DataFrame:
+def overlap_search(index: DataFrame, queries: DataFrame, records: DataFrame, top: int, evidence: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Ranked products for each query by component overlap.
 
     ``index`` from inverted_index; ``queries``: query, component (distinct); ``records``: record, product,
-    source_ord. The best record of a product stays (earlier source, then record, on ties); top is kept
-    within 1 to 100.
+    source_ord. ``evidence`` adds formula_equal and matched_share to (query, product) pairs; they enter the score
+    before anything is cut. The best record of a product stays (earlier source, then record, on ties); top is kept
+    within 1 to 100. Postings meet queries by an equi-join, which AQE splits where a component is frequent; counts are
+    partially aggregated.
     """
     top = min(max(top, 1), 100)
     q = queries.join(queries.groupBy("query").agg(F.count("*").alias("query_size")), "query")
     shared = index.join(small_side(q), "component").groupBy("query", "record").agg(F.count("*").alias("shared"), F.first("query_size").alias("query_size"), F.first("n_components").alias("record_size"))
-    scored = shared.withColumn("coverage", F.col("shared") / F.col("query_size")).withColumn("score", adjusted(overlap_score(F.col("shared"), F.col("query_size"), F.col("record_size"))))
-    scored = scored.join(records, "record")
-    best = W.partitionBy("query", "product").orderBy(F.desc("score"), F.desc("coverage"), "source_ord", "record")
-    one = scored.withColumn("_n", F.row_number().over(best)).where("_n = 1")
+    met = shared.join(records, "record").withColumn("coverage", F.col("shared") / F.col("query_size"))
+    formula = share = None
+    if evidence:
+        met = met.join(evidence(met.select("query", "product").distinct()), ["query", "product"])
+        formula, share = F.col("formula_equal"), F.col("matched_share")
+    scored = met.withColumn("score", adjusted(overlap_score(F.col("shared"), F.col("query_size"), F.col("record_size")), formula, share))
+    place = F.struct(-F.col("score"), -F.col("coverage"), F.col("source_ord"), F.col("record"))
+    one = scored.groupBy("query", "product").agg(F.min_by(F.struct("record", "score", "coverage", "source_ord", *(["formula_equal", "matched_share"] if evidence else [])), place).alias("x")).select("query", "product", "x.*")
     ranked = one.withColumn("rank", F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), F.desc("coverage"), "source_ord", "record")))
-    return ranked.where(F.col("rank") <= top).select("query", "rank", "product", "record", "score", F.round("coverage", 6).alias("coverage"), confidence(F.col("score"), F.col("coverage")).alias("confidence"))
+    kept = ["formula_equal", "matched_share"] if evidence else []
+    return ranked.where(F.col("rank") <= top).select("query", "rank", "product", "record", "score", F.round("coverage", 6).alias("coverage"), confidence(F.col("score"), F.col("coverage")).alias("confidence"), *kept)
 
 
 def best_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    return df.withColumn("_n", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where("_n = 1").drop("_n")
+    """The first row of each key in an order: a partial aggregate over ascending or ``desc`` numbers and texts given as sort keys."""
+    return df.groupBy(*keys).agg(F.min_by(F.struct(*[c for c in df.columns if c not in keys]), F.struct(*order)).alias("__x")).select(*keys, "__x.*")
 
 
 def softmax_scores(df: DataFrame, group: str, score: str) -> DataFrame:

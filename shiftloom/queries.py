@@ -2,38 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import queries_records, queries_sources
+from .catalog import DRAW, ORACLE_SQL, QUERIES, query, t
 from .functions import clean, draws, formulas, spectrum, text, transcript
 from .operators import cluster, dataset, enrich, ingest, precedents
 from .plans import compile as artifacts
 from .plans import reward
 from .streaming import replay
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(fn):
-        QUERIES[fn.__name__] = fn
-        if sql:
-            ORACLE_SQL[fn.__name__] = sql
-        return fn
-
-    return add
-
-
-def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-#: The draw of a row in DuckDB: DRAW.format("seed", "slot", "id").
-DRAW = "(('0x' || substr(md5('{}:{}:' || ({})::VARCHAR), 1, 8))::BIGINT)"
-
+__all__ = ["ORACLE_SQL", "QUERIES", "queries_records", "queries_sources"]
 
 # --- datasets --------------------------------------------------------------------------------------
 
@@ -137,16 +116,21 @@ def merge_records(spark, d):
 
 @query("WITH g AS (SELECT count(*) AS n FROM documents GROUP BY text) SELECT count(*) FILTER (WHERE n > 1) AS merged_groups, sum(n - 1)::BIGINT AS merged_into FROM g")
 def merge_counts(spark, d):
-    return ingest.merge_counts(t(spark, d, "documents").groupBy("text").agg(F.count("*").alias("n_members")))
+    return ingest.merge_counts(t(spark, d, "documents").groupBy(F.sha2("text", 256).alias("k")).agg(F.count("*").alias("n_members")))
 
 
-@query("SELECT n_nationkey AS k, CASE n_nationkey % 5 WHEN 0 THEN 'x' WHEN 4 THEN 'a b' ELSE '' END AS s, CASE n_nationkey % 4 WHEN 0 THEN 12 END::BIGINT AS i, CASE n_nationkey % 3 WHEN 0 THEN TRUE WHEN 1 THEN FALSE END AS b FROM nation")
+_WORD = "split_part(replace(text, chr(10), ' '), ' ', 1 + (doc_id % 5)::INT)"
+
+
+@query(f"""WITH w AS (SELECT doc_id, {_WORD} AS w, source, n_chars FROM documents), x AS (SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN ' ' || w || chr(9) WHEN 1 THEN 'NaN' WHEN 2 THEN ' null ' WHEN 3 THEN w || ' ' || n_chars ELSE w END AS raw, CASE WHEN doc_id % 2 = 0 THEN ' ' || n_chars ELSE n_chars || '.5' END AS num, CASE doc_id % 5 WHEN 0 THEN 'YES' WHEN 1 THEN ' no ' WHEN 2 THEN '1' ELSE w END AS flag FROM w)
+SELECT doc_id AS k, CASE WHEN lower(trim(raw, ' ' || chr(9))) IN ('nan', 'none', 'null') THEN '' ELSE trim(raw, ' ' || chr(9)) END AS s, TRY_CAST(CASE WHEN num LIKE '%.%' THEN NULL ELSE trim(num) END AS BIGINT) AS i, TRY_CAST(trim(num) AS DOUBLE) AS f, CASE WHEN lower(trim(flag)) IN ('true', '1', 'yes') THEN TRUE WHEN lower(trim(flag)) IN ('false', '0', 'no') THEN FALSE END AS b FROM x""")
 def clean_scalars(spark, d):
-    k = F.col("n_nationkey")
-    s = F.element_at(F.array(F.lit("　x "), F.lit("NaN"), F.lit(" none"), F.lit("NULL "), F.lit("\ta b")), (k % 5 + 1).cast("int"))
-    i = F.element_at(F.array(F.lit(" 12"), F.lit("5.0"), F.lit("x"), F.lit(None).cast("string")), (k % 4 + 1).cast("int"))
-    b = F.element_at(F.array(F.lit("YES"), F.lit(" 0 "), F.lit("maybe")), (k % 3 + 1).cast("int"))
-    return t(spark, d, "nation").select(k.alias("k"), clean.clean_str(s).alias("s"), clean.clean_int(i).alias("i"), clean.clean_bool(b).alias("b"))
+    k, w = F.col("doc_id"), F.get(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " "), (F.col("doc_id") % 5).cast("int"))
+    w = F.coalesce(w, F.lit(""))
+    s = F.when(k % 7 == 0, F.concat(F.lit(" "), w, F.lit("\t"))).when(k % 7 == 1, "NaN").when(k % 7 == 2, " null ").when(k % 7 == 3, F.concat_ws(" ", w, "n_chars")).otherwise(w)
+    n = F.when(k % 2 == 0, F.concat(F.lit(" "), "n_chars")).otherwise(F.concat("n_chars", F.lit(".5")))
+    b = F.when(k % 5 == 0, "YES").when(k % 5 == 1, " no ").when(k % 5 == 2, "1").otherwise(w)
+    return t(spark, d, "documents").select(k.alias("k"), clean.clean_str(s).alias("s"), clean.clean_int(n).alias("i"), clean.clean_float(n).alias("f"), clean.clean_bool(b).alias("b"))
 
 
 @query("SELECT p_partkey AS k, '[[\"d\",[' || p_size || '.5],\"' || (p_size % 4) || 'H\",7.25,null]]' AS peaks FROM part")
@@ -165,17 +149,17 @@ def _reactions(spark, d):
 
 @query("""WITH x AS (SELECT l_orderkey AS record, l_returnflag AS source, list_sort(list_distinct(list(l_suppkey::VARCHAR))) AS rs, list_distinct(list(l_partkey::VARCHAR)) AS ps FROM lineitem GROUP BY 1, 2),
 e AS (SELECT record, source, CASE source WHEN 'N' THEN 0 WHEN 'R' THEN 1 ELSE 2 END AS sr, array_to_string(rs, '.') AS sig, unnest(ps) AS product FROM x),
-m AS (SELECT product, source, sr, sig, min(record) AS record FROM e WHERE product IN (SELECT p_partkey::VARCHAR FROM part WHERE p_size = 15) GROUP BY 1, 2, 3, 4),
+m AS (SELECT product, source, sr, sig, min(record) AS record FROM e WHERE product IN (SELECT p_partkey::VARCHAR FROM part) GROUP BY 1, 2, 3, 4),
 r AS (SELECT *, row_number() OVER (PARTITION BY product ORDER BY sr, record) AS rank FROM m)
 SELECT product, record, source, rank::INT AS rank FROM r WHERE rank <= 3""")
 def precedent_scan(spark, d):
-    targets = t(spark, d, "part").where("p_size = 15").select(F.col("p_partkey").cast("string").alias("product"))
+    targets = t(spark, d, "part").select(F.col("p_partkey").cast("string").alias("product"))
     rank = F.when(F.col("source") == "N", 0).when(F.col("source") == "R", 1).otherwise(2)
     return precedents.scan_precedents(_reactions(spark, d), targets, 3, rank)
 
 
 @query("""WITH c AS (SELECT DISTINCT l_orderkey AS record, l_partkey AS component FROM lineitem), n AS (SELECT record, count(*) AS rn FROM c GROUP BY 1),
-q AS (SELECT record AS query, component FROM c WHERE record % 400 = 0), qn AS (SELECT query, count(*) AS qn FROM q GROUP BY 1),
+q AS (SELECT record AS query, component FROM c WHERE record % 50 = 0), qn AS (SELECT query, count(*) AS qn FROM q GROUP BY 1),
 s AS (SELECT q.query, c.record, count(*) AS k FROM q JOIN c USING (component) GROUP BY 1, 2),
 f AS (SELECT s.query, s.record, o_custkey AS product, k::DOUBLE / qn AS cov, round(least(greatest(0.5::DOUBLE * k / qn + 0.3::DOUBLE * k / (qn + rn - k) + 0.12::DOUBLE * k / rn, 0), 1), 6) AS score FROM s JOIN n USING (record) JOIN qn USING (query) JOIN orders ON o_orderkey = record),
 b AS (SELECT *, row_number() OVER (PARTITION BY query, product ORDER BY score DESC, cov DESC, record) AS i FROM f),
@@ -184,7 +168,7 @@ SELECT query, rank::INT AS rank, product, record, score, round(cov, 6) AS covera
 def overlap_search(spark, d):
     parts = t(spark, d, "lineitem").select(F.col("l_orderkey").alias("record"), F.col("l_partkey").alias("component"))
     index = precedents.inverted_index(parts.groupBy("record").agg(F.collect_set("component").alias("components")))
-    queries = index.where("record % 400 = 0").select(F.col("record").alias("query"), "component")
+    queries = index.where("record % 50 = 0").select(F.col("record").alias("query"), "component")
     records = t(spark, d, "orders").select(F.col("o_orderkey").alias("record"), F.col("o_custkey").alias("product"), F.lit(0).alias("source_ord"))
     return precedents.overlap_search(index, queries, records, 5)
 
@@ -221,7 +205,7 @@ def cache_coverage(spark, d):
 @query("SELECT o_custkey AS k, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS i FROM orders) WHERE i = 1")
 def best_per_key(spark, d):
     rows = t(spark, d, "orders").select(F.col("o_custkey").alias("k"), "o_orderkey", "o_totalprice")
-    return precedents.best_per_key(rows, ["k"], [F.desc("o_totalprice"), F.asc("o_orderkey")])
+    return precedents.best_per_key(rows, ["k"], [-F.col("o_totalprice"), F.col("o_orderkey")])
 
 
 @query("SELECT l_orderkey, l_linenumber, round(exp(q - m) / sum(exp(q - m)) OVER (PARTITION BY l_orderkey), 9) AS probability FROM (SELECT l_orderkey, l_linenumber, coalesce(q, m - 100) AS q, m FROM (SELECT *, coalesce(max(q) OVER (PARTITION BY l_orderkey), 0) AS m FROM (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <> 3 THEN l_quantity END AS q FROM lineitem)))")
@@ -290,10 +274,16 @@ def spectrum_text(spark, d):
     return t(spark, d, "part").select("p_partkey", spectrum.spectrum_text(F.when(c("p_size") % 2 == 0, " 1H NMR ").otherwise(""), F.when(c("p_size") % 5 == 0, "400 MHz"), c("p_brand"), F.when(c("p_size") % 3 != 0, c("p_name"))).alias("spectrum"))
 
 
-@query("SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN 'carbon-13' WHEN 1 THEN 'proton' WHEN 2 THEN 'HSQC' ELSE 'other' END AS label, CASE p_size % 4 WHEN 0 THEN 'C' WHEN 1 THEN 'H' WHEN 2 THEN 'CH' ELSE 'H' END AS nucleus FROM part")
+_KINDS = "[" + ", ".join(f"'{k}'" for k, _ in spectrum.KINDS) + ", 'Raman']"
+_LABELS = " ".join(f"WHEN contains(upper(kind), upper('{k}')) THEN '{v}'" for k, v in spectrum.KINDS)
+
+
+@query(f"WITH x AS (SELECT p_partkey, {_KINDS}[1 + p_size % 13] || CASE WHEN p_partkey % 3 = 0 THEN '-' || {_KINDS}[1 + (p_partkey % 13)::INT] || ' ' ELSE ' ' END || lower(p_brand) AS kind FROM part) SELECT p_partkey, CASE {_LABELS} ELSE kind END AS label FROM x")
 def kind_labels(spark, d):
-    kind = F.element_at(F.array(F.lit("13C nmr"), F.lit("1h"), F.lit("hsqc"), F.lit("other")), (F.col("p_size") % 4 + 1).cast("int"))
-    return t(spark, d, "part").select("p_partkey", spectrum.kind_label(kind).alias("label"), F.when(F.col("p_size") % 4 == 2, "CH").otherwise(spectrum.nucleus(kind)).alias("nucleus"))
+    names = F.array(*[F.lit(k) for k, _ in spectrum.KINDS], F.lit("Raman"))
+    second = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("-"), F.get(names, (F.col("p_partkey") % 13).cast("int")), F.lit(" "))).otherwise(" ")
+    kind = F.concat(F.get(names, F.col("p_size") % 13), second, F.lower("p_brand"))
+    return t(spark, d, "part").select("p_partkey", spectrum.kind_label(kind).alias("label"))
 
 
 @query(f"""WITH f AS (SELECT o_orderkey AS k, (o_orderkey % 20 + 3)::INT AS c, (o_custkey % 30 + 4)::INT AS h, {DRAW.format(9, 'formula', 'o_orderkey')} % 8 AS e FROM orders),
@@ -311,9 +301,31 @@ def draw_mix(spark, d):
     return t(spark, d, "documents").select(draws.weighted(mix, draws.u(11, "information", F.col("doc_id"))).alias("information")).groupBy("information").agg(F.count("*").alias("n"))
 
 
-@query(f"SELECT p_partkey, replace(['The formula is probably {{}}.', 'I think the formula may be {{}}.', 'It could be {{}}, but I am not sure.'][1 + {DRAW.format(4, 'say-formula', 'p_partkey')} % 3], '{{}}', p_brand) AS said FROM part")
+def _listed(values) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
+@query(f"""WITH g AS (SELECT p_partkey, p_size, {_listed(text.HEDGES_BEFORE)}[1 + {DRAW.format(4, 'hedge', 'p_partkey')} % 5] || CASE p_size % 3 WHEN 0 THEN ' ' || p_brand WHEN 1 THEN p_brand || '（中文名）' ELSE p_brand || '（英文名）' END || {_listed(text.HEDGES_AFTER)}[1 + {DRAW.format(4, 'hedged', 'p_partkey')} % 5] AS guess FROM part)
+SELECT p_partkey, guess, {_listed(text.FOLLOWUP_LEADS)}[1 + {DRAW.format(4, 'more', 'p_partkey')} % 5] || guess || '。' || CASE WHEN suffix(guess, '，不太确定') OR suffix(guess, '，目前是这样') OR suffix(guess, '，基本上是这样') OR suffix(guess, '，帮我核实下') THEN '' ELSE {_listed(text.FOLLOWUP_TAILS)}[1 + {DRAW.format(4, 'later', 'p_partkey')} % 5] END AS said FROM g""")
 def render_turns(spark, d):
-    return t(spark, d, "part").select("p_partkey", text.rendered("formula", "uncertain", F.col("p_brand"), 4, F.col("p_partkey")).alias("said"))
+    kind = F.element_at(F.array(*[F.lit(k) for k in text.KIND_NAMES]), F.col("p_size") % 3 + 1)
+    guess = text.structure_block(F.col("p_brand"), kind, 4, F.col("p_partkey"))
+    return t(spark, d, "part").select("p_partkey", guess.alias("guess"), text.followup_turn(guess, 4, F.col("p_partkey")).alias("said"))
+
+
+_REACTION_TEXT = "concat_ws('；', CASE WHEN p_size % 4 <> 0 THEN concat_ws('，', '原料：' || p_brand || '、' || p_type, CASE WHEN p_size % 3 = 0 THEN '条件：' || p_name END) END, CASE WHEN p_size % 5 = 0 THEN '反应类型：' || p_type END)"
+
+
+@query(f"WITH x AS (SELECT p_partkey, p_size, p_brand, p_type, {_REACTION_TEXT} AS body FROM part) SELECT p_partkey, CASE WHEN body = '' THEN '' WHEN p_size % 2 = 0 THEN '如下是化合物的大致合成路线：' || body || {_listed(text.HEDGES_AFTER)}[1 + {DRAW.format(4, 'routed', 'p_partkey')} % 5] ELSE '化合物合成信息如下：' || body END AS reaction, CASE WHEN p_size % 3 = 0 THEN '' WHEN p_size % 2 = 0 THEN {_listed(text.FRAGMENT_HEDGES)}[1 + {DRAW.format(4, 'has', 'p_partkey')} % 3] || p_brand || '、' || p_type || {_listed(text.HEDGES_AFTER)}[1 + {DRAW.format(4, 'had', 'p_partkey')} % 5] ELSE '已知结构中含有' || p_brand || '、' || p_type END AS fragments, '这批样品是做高分子的，可能涉及' || p_brand || '（' || p_type || '）' AS polymer, '分子式：' || p_brand AS formula FROM x")
+def render_blocks(spark, d):
+    c, key, no = F.col, F.col("p_partkey"), F.lit(None).cast("string")
+    item = lambda r, cond, name: F.struct(r.alias("reactants"), cond.alias("conditions"), name.alias("name"))
+    a = item(F.when(c("p_size") % 4 != 0, F.array("p_brand", "p_type")), F.when((c("p_size") % 3 == 0) & (c("p_size") % 4 != 0), c("p_name")), no)
+    items = F.array(a, item(F.array().cast("array<string>"), no, F.when(c("p_size") % 5 == 0, c("p_type"))))
+    names = F.when(c("p_size") % 3 == 0, F.array(F.lit(""))).otherwise(F.array("p_brand", "p_type"))
+    even = c("p_size") % 2 == 0
+    polymer = text.polymer_block(F.array(F.struct(c("p_brand").alias("zh"), c("p_type").alias("polymerization_zh"))))
+    return t(spark, d, "part").select("p_partkey", text.reaction_block(items, even, 4, key).alias("reaction"), text.fragment_block(names, even, 4, key).alias("fragments"), polymer.alias("polymer"), text.formula_block(c("p_brand")).alias("formula"))
 
 
 @query("SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN 'My ' || p_brand || ' it is' WHEN p_size % 3 = 1 THEN 'template' ELSE 'template' END AS said, CASE WHEN p_size % 3 = 0 THEN 'llm' WHEN p_size % 3 = 1 THEN 'rejected_information_loss' ELSE 'template' END AS status FROM part")
@@ -328,10 +340,17 @@ def tag_strip(spark, d):
     return t(spark, d, "pages").select("page_id", text.strip_tags(F.col("html")).alias("plain"))
 
 
-@query("SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN 'chinese' WHEN 1 THEN 'cas' WHEN 2 THEN 'other' ELSE 'english' END AS kind FROM part")
+_NAMES = "CASE doc_id % 8 WHEN 0 THEN '乙' || n_chars WHEN 1 THEN (10 + n_chars % 90)::VARCHAR || '-' || (10 + doc_id % 90) || '-' || (doc_id % 10) WHEN 2 THEN ['CID ', 'chebi:', 'DB', 'HMDB', 'InChI=1S/', 'EC ', 'Zinc'][1 + (n_chars % 7)::INT] || doc_id WHEN 3 THEN n_chars::VARCHAR ELSE left(replace(text, chr(10), ' '), 1 + (doc_id * 7 % 260)::INT) END"
+
+
+@query(f"WITH x AS (SELECT doc_id, trim({_NAMES}) AS n FROM documents) SELECT doc_id, CASE WHEN regexp_matches(n, '[\\x{{4e00}}-\\x{{9fff}}]') AND length(n) BETWEEN 2 AND 160 THEN 'chinese' WHEN regexp_full_match(n, '\\d{{2,7}}-\\d{{2}}-\\d') THEN 'cas' WHEN NOT regexp_matches(n, '[\\x{{4e00}}-\\x{{9fff}}]') AND length(n) BETWEEN 2 AND 200 AND regexp_matches(n, '[A-Za-z]') AND NOT regexp_matches(lower(n), '^({'|'.join(p.lower() for p in text.ID_PREFIXES)})') THEN 'english' ELSE 'other' END AS kind FROM x")
 def name_class(spark, d):
-    name = F.element_at(F.array(F.lit("乙醇 x"), F.lit("64-17-5"), F.lit("CHEBI:16236"), F.lit("ethyl alcohol")), (F.col("p_size") % 4 + 1).cast("int"))
-    return t(spark, d, "part").select("p_partkey", text.name_class(name).alias("kind"))
+    c, k = F.col, F.col("doc_id")
+    cas = F.concat_ws("-", (10 + c("n_chars") % 90).cast("string"), (10 + k % 90).cast("string"), (k % 10).cast("string"))
+    known = F.concat(F.get(F.array(*[F.lit(x) for x in ("CID ", "chebi:", "DB", "HMDB", "InChI=1S/", "EC ", "Zinc")]), (c("n_chars") % 7).cast("int")), k)
+    words = F.substring(F.replace("text", F.lit("\n"), F.lit(" ")), F.lit(1), (1 + k * 7 % 260).cast("int"))
+    name = F.when(k % 8 == 0, F.concat(F.lit("乙"), "n_chars")).when(k % 8 == 1, cas).when(k % 8 == 2, known).when(k % 8 == 3, c("n_chars").cast("string")).otherwise(words)
+    return t(spark, d, "documents").select("doc_id", text.name_class(F.trim(name)).alias("kind"))
 
 
 @query("SELECT p_partkey, '[CH3]O.' || p_size AS reactants, 'A' || p_size AS agents, p_brand AS products, 'https://en.wikipedia.org/wiki/Part_' || p_size AS url FROM part")
@@ -369,23 +388,32 @@ def _transcripts(spark, d):
     c = F.col
     call = F.concat(F.lit('thinking <tool_call> {"name": "look", "arguments": {"q": "'), c("p_brand"), F.lit('"}} </tool_call>\n{"completion": "success", "status": "ok", "data": {"smiles": ["X"]}}\n'))
     answer = F.concat(F.lit('So: {"smiles": [" '), c("p_brand"), F.lit('", "'), c("p_type"), F.lit('", ""]} done'))
-    return t(spark, d, "part").select("p_partkey", "p_brand", "p_type", F.when(c("p_size") % 4 == 0, F.lit("I do not know")).otherwise(F.concat(F.when(c("p_size") % 2 == 0, call).otherwise(""), answer)).alias("said"), "p_size")
+    twice = F.concat(F.lit('first {"smiles": ["'), c("p_name"), F.lit('"]} then '), answer)
+    body = F.when(c("p_size") % 5 == 0, twice).when(c("p_size") % 5 == 1, F.concat(F.lit('note {"n": 3} '), answer)).otherwise(answer)
+    return t(spark, d, "part").select("p_partkey", "p_brand", "p_type", F.when(c("p_size") % 4 == 0, F.lit("I do not know")).otherwise(F.concat(F.when(c("p_size") % 2 == 0, call).otherwise(""), body)).alias("said"), "p_size")
+
+
+_SAID = """WITH x AS (SELECT *, 'So: {"smiles": [" ' || p_brand || '", "' || p_type || '", ""]} done' AS answer FROM part),
+s AS (SELECT p_partkey, p_size, p_brand, p_type, CASE WHEN p_size % 4 = 0 THEN 'I do not know' ELSE CASE WHEN p_size % 2 = 0 THEN 'thinking <tool_call> {"name": "look", "arguments": {"q": "' || p_brand || '"}} </tool_call>' || chr(10) || '{"completion": "success", "status": "ok", "data": {"smiles": ["X"]}}' || chr(10) ELSE '' END || CASE p_size % 5 WHEN 0 THEN 'first {"smiles": ["' || p_name || '"]} then ' || answer WHEN 1 THEN 'note {"n": 3} ' || answer ELSE answer END END AS said FROM x),
+o AS (SELECT *, list_extract(regexp_extract_all(regexp_replace(said, '(?s).*</tool_call>', ''), '\\{[^{}]*"smiles"[^\\]]*\\]\\s*\\}'), -1) AS obj FROM s)"""
+_ANSWERS = "coalesce(array_to_string([trim(v) FOR v IN json_extract_string(obj, '$.smiles[*]') IF trim(v) <> ''], '|'), '')"
 
 
-@query("SELECT p_partkey, CASE WHEN p_size % 4 = 0 THEN '' ELSE p_brand || '|' || p_type END AS answers, CASE WHEN p_size % 4 <> 0 AND p_size % 2 = 0 THEN 1 ELSE 0 END AS n_calls FROM part")
+@query(f"{_SAID} SELECT p_partkey, {_ANSWERS} AS answers, len(regexp_extract_all(said, '<tool_call>')) AS n_calls FROM o")
 def extract_answer(spark, d):
     rows = _transcripts(spark, d)
-    return rows.select("p_partkey", F.array_join(transcript.answer_list(F.col("said")), "|").alias("answers"), F.size(transcript.call_bodies(F.col("said"))).alias("n_calls"))
+    return rows.select("p_partkey", F.array_join(transcript.answer_list(F.col("said")), "|").alias("answers"), F.size(transcript.call_bodies(F.col("said"))).cast("bigint").alias("n_calls"))
 
 
-@query("SELECT p_partkey, CASE WHEN p_size % 4 = 0 THEN '' ELSE p_brand || '|' || p_type END AS answers FROM part")
+@query(f"{_SAID} SELECT p_partkey, {_ANSWERS} AS answers FROM o")
 def extract_answer_full(spark, d):
     return transcript.answers(_transcripts(spark, d), "said").select("p_partkey", F.array_join("answers", "|").alias("answers"))
 
 
-@query("SELECT p_partkey, CASE WHEN p_size % 4 = 0 THEN 'assistant' WHEN p_size % 2 = 0 THEN 'assistant,tool,assistant' ELSE 'assistant' END AS roles FROM part")
+@query(f"""{_SAID} SELECT p_partkey, CASE WHEN contains(said, '<tool_call>') THEN concat_ws('|', 'assistant:' || length(regexp_extract(said, '(?s)<tool_call>.*</tool_call>')), 'tool:' || length(trim(left(substr(said, strpos(said, '</tool_call>') + 12), strpos(substr(said, strpos(said, '</tool_call>') + 12), obj) - 1), ' ' || chr(10))), 'assistant:' || length(trim(substr(substr(said, strpos(said, '</tool_call>') + 12), strpos(substr(said, strpos(said, '</tool_call>') + 12), obj)), ' ' || chr(10)))) ELSE 'assistant:' || length(said) END AS turns FROM o""")
 def rebuild_turns(spark, d):
-    return transcript.turns(_transcripts(spark, d), "said").select("p_partkey", F.array_join(F.transform("turns", lambda x: x["role"]), ",").alias("roles"))
+    said = F.transform("turns", lambda x: F.concat_ws(":", x["role"], F.char_length(x["content"]).cast("string")))
+    return transcript.turns(_transcripts(spark, d), "said").select("p_partkey", F.array_join(said, "|").alias("turns"))
 
 
 @query("""WITH c AS (SELECT l_orderkey AS k, list(l_partkey ORDER BY l_linenumber, l_partkey) AS cs, max(l_partkey) AS truth, count(*) FILTER (WHERE l_returnflag = 'R') AS bad, bool_or(l_linestatus = 'O') AS wrong, (count(*) * 3)::INT AS calls FROM lineitem GROUP BY 1),
@@ -400,10 +428,12 @@ def reward_score(spark, d):
     return rows.select("k", rank.cast("int").alias("rank"), (F.round(reward.score_columns(rank, F.col("bad"), F.col("wrong"), F.col("calls"))["score"], 9) + 0.0).alias("score"))
 
 
-@query("SELECT p_partkey, CASE WHEN p_size % 4 = 0 THEN NULL ELSE 2 END::INT AS rank, CASE WHEN p_size % 4 = 0 THEN 0.0 ELSE 0.56 END::DOUBLE AS score, CASE WHEN p_size % 4 <> 0 AND p_size % 2 = 0 THEN 1 ELSE 0 END::INT AS n_calls FROM part")
+@query(f"""{_SAID}, r AS (SELECT p_partkey, list_position([trim(v) FOR v IN json_extract_string(obj, '$.smiles[*]') IF trim(v) <> ''], p_type) AS rank, len(regexp_extract_all(said, '<tool_call>')) AS n, contains(said, '<tool_call>') AND p_size % 3 = 0 AS bad FROM o)
+SELECT p_partkey, rank::INT AS rank, round(0.7::DOUBLE * coalesce(pow(0.8::DOUBLE, rank - 1), 0) - 0.1::DOUBLE * bad::INT, 9) + 0.0 AS score, n::INT AS n_calls, bad::INT AS bad_calls FROM r""")
 def score_rollouts(spark, d):
-    schema = {"name": "look", "parameters": {"type": "object", "properties": {"q": {"type": "string"}}, "required": ["q"]}}
-    return reward.score_rollouts(_transcripts(spark, d), "said", "p_type", "p_partkey", [schema]).select("p_partkey", "rank", F.round("score", 9).alias("score"), "n_calls")
+    schema = {"name": "look", "parameters": {"type": "object", "properties": {"q": {"type": "string"}}, "required": ["q"], "additionalProperties": False}}
+    rows = _transcripts(spark, d).withColumn("said", F.when(F.col("p_size") % 3 == 0, F.replace("said", F.lit('{"q"'), F.lit('{"p"'))).otherwise(F.col("said")))
+    return reward.score_rollouts(rows, "said", "p_type", "p_partkey", [schema]).select("p_partkey", "rank", (F.round("score", 9) + 0.0).alias("score"), "n_calls", "bad_calls")
 
 
 def _samples(spark, d):

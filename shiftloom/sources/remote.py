@@ -90,7 +90,7 @@ def candidate_list(answer) -> list:
             return answer
         if not isinstance(answer, dict):
             return []
-        got = next((answer[k] for k in ("candidates", "results", "result", "hits") if isinstance(answer.get(k), list)), None)
+        got = next((answer[k] for k in ("candidates", "results", "smiles_list", "smiles", "result", "hits") if isinstance(answer.get(k), list)), None)
         if got is not None:
             return got
         answer = answer.get("data")

@@ -33,16 +33,25 @@ def write_as(df: DataFrame, path: str) -> int:
 
 
 def publish(df: DataFrame, path: str) -> None:
-    """Written beside the target and renamed over it, so readers see the old table or the new one; a table may replace itself."""
-    spark = df.sparkSession
-    beside = f"{path}.{uuid.uuid4().hex}.tmp"
+    """Written beside the target, then put in its place; a table may replace itself.
+
+    The old table is moved aside first and goes only when the new one stands; a failed move brings it back, so
+    no failure loses a table.
+    """
+    spark, mark = df.sparkSession, uuid.uuid4().hex
+    beside, aside = f"{path}.{mark}.new", f"{path}.{mark}.old"
     df.write.parquet(beside)
     make = spark._jvm.org.apache.hadoop.fs.Path
     fs = make(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(make(path)):
-        fs.delete(make(path), True)
+    had = fs.exists(make(path))
+    if had and not fs.rename(make(path), make(aside)):
+        raise OSError(f"could not move {path} aside")
     if not fs.rename(make(beside), make(path)):
+        if had:
+            fs.rename(make(aside), make(path))
         raise OSError(f"could not publish {path}")
+    if had:
+        fs.delete(make(aside), True)
 
 
 def append_cache(df: DataFrame, path: str) -> None:

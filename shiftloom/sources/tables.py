@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,23 +19,51 @@ def export_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def numbered(df: DataFrame, name: str = "row_index") -> DataFrame:
-    """Positions for formats without them, in file order."""
-    schema = T.StructType([*df.schema.fields, T.StructField(name, T.LongType(), False)])
-    return df.sparkSession.createDataFrame(df.rdd.zipWithIndex().map(lambda x: (*x[0], x[1])), schema)
+    """Positions of rows read straight from files, in order of file and place: a split's offset comes from the counts of those before it.
 
+    Splits are told by file and first byte, and their rows lie side by side in one partition, so one count a split
+    (a few numbers on the driver) places every row.
+    """
+    marked = df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"), F.monotonically_increasing_id().alias("__at"))
+    splits = marked.groupBy("__file", "__start").agg(F.count("*").alias("n"), F.min("__at").alias("least")).collect()
+    offsets, total = [], 0
+    for r in sorted(splits, key=lambda r: (r["__file"], r["__start"])):
+        offsets.append((r["__file"], r["__start"], total - r["least"]))
+        total += r["n"]
+    lookup = df.sparkSession.createDataFrame(offsets, "__file string, __start bigint, __shift bigint")
+    return marked.join(F.broadcast(lookup), ["__file", "__start"]).withColumn(name, F.col("__at") + F.col("__shift")).drop("__file", "__start", "__at", "__shift")
+
+
+def _unreadable(encoding: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            bad = []
+            for line in b.column("value").to_pylist():
+                try:
+                    line.decode(encoding)
+                except UnicodeDecodeError:
+                    bad.append(line)
+            yield pa.RecordBatch.from_arrays([pa.array(bad, pa.binary())], names=["value"])
+
+    return run
+
+
+def encoding_of(spark: SparkSession, path: str) -> str:
+    """UTF-8 if all lines are; else GB18030 if all others are that; else UTF-8, whose bad bytes the reader replaces. Lines are checked apart."""
+    lines = spark.read.text(path).where(~F.is_valid_utf8("value")).select(F.col("value").cast("binary").alias("value"))
+    if lines.isEmpty():
+        return "UTF-8"
+    return "GB18030" if lines.mapInArrow(_unreadable("gb18030"), "value binary").isEmpty() else "UTF-8"
 
-def export_csv(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
-    """A CSV export as text columns: UTF-8 if the bytes are, else GB18030; reader-level missing tokens are null.
 
-    The encoding is decided from the files' bytes on the executors; one flag comes back.
-    """
-    if encoding is None:
-        bad = spark.read.format("binaryFile").load(path).select(F.is_valid_utf8(F.col("content").cast("string")).alias("ok")).where(~F.col("ok")).limit(1).count()
-        encoding = "GB18030" if bad else "UTF-8"
+def export_csv(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
+    """A CSV export as text columns in the encoding that fits it; reader-level missing tokens are null."""
+    encoding = encoding or encoding_of(spark, path)
     if encoding.upper() == "GB18030":
         spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("encoding", encoding).csv(path)
-    return numbered(df.select(*[csv_missing(F.col(f"`{c}`")).alias(c) for c in df.columns]))
+    columns = df.columns
+    return numbered(df).select(*[csv_missing(F.col(f"`{c}`")).alias(c) for c in columns], "row_index")
 
 
 def export(spark: SparkSession, path: str) -> DataFrame:
@@ -69,7 +100,7 @@ def tolerant_cache(spark: SparkSession, path: str, schema: str, key: str) -> Dat
 
 def reactions_csv(spark: SparkSession, path: str) -> DataFrame:
     """reactant, product columns with dot-separated components."""
-    df = numbered(spark.read.option("header", True).csv(path).select("reactant", "product"), "record")
+    df = numbered(spark.read.option("header", True).csv(path), "record")
     return df.select("record", F.lit("csv").alias("source"), mixture(F.col("reactant")).alias("reactants"), F.array().cast("array<string>").alias("agents"), mixture(F.col("product")).alias("products"), F.lit(None).cast("string").alias("reference"), F.lit(None).cast("string").alias("class_name"))
 
 
@@ -108,3 +139,16 @@ def load_or_build(spark: SparkSession, path: str, build, force: bool = False) ->
 
         publish(build(), path)
     return spark.read.parquet(path)
+
+
+def at_positions(spark: SparkSession, path: str, schema: str, positions: list[int]) -> DataFrame:
+    """Records of a JSON-lines file by position (blank lines do not count): only those lines are parsed."""
+    lines = spark.read.text(path)
+    full = numbered(lines, "__line").where(F.trim("value") != "")
+    if lines.where(F.trim("value") == "").isEmpty():
+        placed = full.withColumn("row_id", F.col("__line"))
+    else:
+        from ..operators.dataset import positions as place
+
+        placed = place(full, ["__line"])
+    return placed.where(F.col("row_id").isin(positions)).select("row_id", F.from_json("value", schema).alias("r")).select("row_id", "r.*")

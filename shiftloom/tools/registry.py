@@ -6,8 +6,9 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Any
 
-from ..functions.schema_check import problems
-from ..sources.remote import Service, candidate_list
+from ..functions.schema_check import decoded_arguments, problems
+from ..sources.remote import Service
+from . import answers
 
 
 @dataclass(frozen=True)
@@ -51,10 +52,18 @@ class Registry:
             raise ValueError(f"unknown tools: {', '.join(unknown)}")
         return [self.tools[n].schema for n in (names if names is not None else self.tools)]
 
-    def invoke(self, name: str, arguments: dict) -> dict:
-        """The tool's result; unknown names, bad arguments and exceptions become failures, every third in a row warns."""
+    def invoke(self, name: str, arguments: dict | str) -> dict:
+        """The tool's result; unknown names, bad arguments and exceptions become failures, every third in a row warns.
+
+        Arguments may be JSON text of an object.
+        """
+        wrong = None
+        if isinstance(arguments, str):
+            arguments, wrong = decoded_arguments(arguments)
         if name not in self.tools:
             out = result("failure", "error", warnings=[f"unknown tool {name!r}"])
+        elif wrong:
+            out = result("failure", "error", warnings=[wrong])
         elif found := list(problems(arguments, self.tools[name].parameters)):
             out = result("failure", "error", warnings=found)
         else:
@@ -77,7 +86,12 @@ def _object(required: list[str], **properties: dict) -> dict:
 
 _TEXT, _NUMBER = {"type": "string"}, {"type": "number"}
 _TEXTS, _NUMBERS = {"type": "array", "items": _TEXT}, {"type": "array", "items": _NUMBER}
+_COUNT = {"type": "integer", "minimum": 1}
 _TOP = {"type": "integer", "minimum": 1, "maximum": 100}
+_PEAKS = {"type": "array", "items": {"type": "object"}}
+_SPECTRUM = {"h_nmr_peaks": _PEAKS, "c_nmr_peaks": _PEAKS, "h_shifts": _NUMBERS, "h_split": _TEXTS, "c_shifts": _NUMBERS, "formula": _TEXT, "solvent": _TEXT}
+_KNOBS = {"sigma_h": _NUMBER, "sigma_c": _NUMBER, "split_coef": _NUMBER, "use_h_split": {"type": "boolean"}, "use_stereo": {"type": "boolean"}, "include_active_hs": _TEXT, "optional_halogens": _TEXTS, "invalid_patterns": _TEXTS} | {k: _COUNT for k in ("max_iter", "num_search", "num_pool", "num_filter_pair", "num_filter_mol", "num_mutate_mol", "max_cycle_length")}
+_REACTION = {"reactants": _TEXTS, "reagents": _TEXTS, "solvent": _TEXTS, "formula": _TEXT, "hints": _TEXTS, "backend": _TEXT, "top": _TOP}
 
 #: Remote tools: name, what it does, parameters, required ones, method, time-out.
 REMOTE = (
@@ -85,26 +99,34 @@ REMOTE = (
     ("wikipedia_search", "Search Wikipedia.", {"query": _TEXT, "limit": {"type": "integer", "minimum": 1, "maximum": 50}}, ["query"], "GET", 30),
     ("crossref_search", "Search Crossref works.", {"query": _TEXT, "limit": _TOP}, ["query"], "GET", 30),
     ("semantic_scholar_search", "Search papers.", {"query": _TEXT, "limit": _TOP}, ["query"], "GET", 30),
-    ("nmr_generate", "Structures from a spectrum.", {"shifts": _NUMBERS, "formula": _TEXT, "top": _TOP}, ["shifts"], "POST", 180),
-    ("nmr_repair", "Repair a structure to a formula.", {"smiles": _TEXT, "formula": _TEXT}, ["smiles", "formula"], "POST", 60),
-    ("nmr_rerank", "Score structures against a spectrum.", {"smiles": _TEXTS, "shifts": _NUMBERS, "formula": _TEXT}, ["smiles", "shifts"], "POST", 120),
+    ("nmr_generate", "Structures from a spectrum.", {**_SPECTRUM, "nmr_type": _TEXT, "top": _TOP}, [], "POST", 180),
+    ("nmr_repair", "Repair a structure to a formula.", {"smiles": _TEXT, "seed_smiles": _TEXT, "formula": _TEXT, "molecular_formula": _TEXT}, [], "POST", 60),
+    ("nmr_rerank", "Score structures against a spectrum.", {"smiles_list": _TEXTS, **_SPECTRUM, "top": _TOP}, ["smiles_list"], "POST", 120),
     ("nmr_forward_predict", "Predict a spectrum.", {"smiles": _TEXT, "solvent": _TEXT}, ["smiles"], "POST", 60),
-    ("nmrexp_search", "Search experimental spectra.", {"shifts": _NUMBERS, "top": _TOP, "tolerance": _NUMBER}, ["shifts"], "POST", 60),
-    ("askcos_reaction_forward_predict", "Predict products.", {"reactants": _TEXTS, "formula": _TEXT}, ["reactants"], "POST", 120),
-    ("unimol3_reaction_forward_predict", "Predict products.", {"reactants": _TEXTS, "formula": _TEXT}, ["reactants"], "POST", 120),
-    ("code_interpreter", "Run code in a remote sandbox.", {"code": _TEXT}, ["code"], "POST", 60),
+    ("nmrexp_search", "Search experimental spectra.", {**_SPECTRUM, **_KNOBS, "top": _TOP}, [], "POST", 60),
+    ("askcos_reaction_forward_predict", "Predict products.", _REACTION, ["reactants"], "POST", 120),
+    ("unimol3_reaction_forward_predict", "Predict products.", _REACTION, ["reactants"], "POST", 120),
+    ("code_interpreter", "Run code in a remote sandbox.", {"code": _TEXT, "timeout": _NUMBER}, ["code"], "POST", 60),
 )
 DEFAULT_NAMES = ("reaction_local_index_search", "nmr_generate", "nmr_rerank", "nmr_forward_predict", "nmrexp_search")
 
 
 def remote_tool(name: str, description: str, parameters: dict, required: list[str], method: str, timeout: float, url: str | None) -> Tool:
-    service = Service(url, method, timeout)
+    """A service behind a tool: arguments become its request, its answer becomes ranked rows."""
+    service, shape = Service(url, method, timeout), answers.SHAPES.get(name, answers.PLAIN)
 
     def run(arguments: dict) -> dict:
-        out = service.call(arguments)
-        if out["completion"] == "success" and isinstance(out["data"], (dict, list)) and not candidate_list(out["data"]) and name.endswith(("search", "generate", "predict")) and name != "nmr_forward_predict":
-            out["status"] = "no_hits" if name.endswith("search") else "no_candidates"
-        return out
+        arguments, payload, warnings = shape.ask(arguments)
+        if payload is None:
+            kind = ("success", "no_candidates", {"candidates": []}) if shape.key == "candidates" and warnings and warnings[0].startswith("formula") else ("failure", "error", None)
+            return result(*kind, warnings)
+        out = service.call(payload)
+        if out["completion"] != "success":
+            return out | {"data": {"request": payload}, "warnings": [*warnings, *out["warnings"]]}
+        rows = shape.read(out["data"], arguments)
+        if shape.key is None:
+            return result("success", "ok", rows, warnings)
+        return result("success", "ok" if rows else f"no_{shape.key}", {"request": payload, shape.key: rows}, warnings)
 
     return Tool(name, description, _object(required, **parameters), run)
 
@@ -127,7 +149,7 @@ def register_udtf(spark, registry: Registry, name: str = "call_tool") -> None:
 
     class Call:
         def eval(self, tool: str, arguments: str):
-            out = registry.invoke(tool, json.loads(arguments))
+            out = registry.invoke(tool, arguments)
             yield out["completion"], out["status"], json.dumps(out["data"], ensure_ascii=False), "; ".join(out["warnings"])
 
     spark.udtf.register(name, udtf(Call, returnType="completion string, status string, data string, warnings string"))

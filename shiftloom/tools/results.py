@@ -70,7 +70,7 @@ def resolve_names(smiles: str, service: Service, most: int = 10) -> dict:
     said = [n for x in nested_items(found["data"], "Synonym") for n in x["Synonym"] if isinstance(n, str)]
     out: dict[str, list[str]] = {"english": [], "chinese": [], "cas": []}
     for n in map(str.strip, said):
-        cjk, known_id = re.search("[一-鿿]", n), re.match("(?i)(" + "|".join(ID_PREFIXES) + r")[-: ]?\d", n)
+        cjk, known_id = re.search("[一-鿿]", n), re.match("(?i)(?:" + "|".join(ID_PREFIXES) + ")", n)
         kind = "chinese" if cjk and 2 <= len(n) <= 160 else "cas" if re.match(CAS, n) else "english" if not cjk and not known_id and 2 <= len(n) <= 200 and re.search("[A-Za-z]", n) else None
         if kind and n.lower() not in map(str.lower, out[kind]) and len(out[kind]) < most:
             out[kind].append(n)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,19 +31,31 @@ class LocalSearch:
         if not parts:
             return result("failure", "error", warnings=["no readable reactant was given"])
         query = self.spark.createDataFrame([(0, p) for p in parts], "query int, component string")
-        rows = [r.asDict() for r in overlap_search(self.index, query, self.records, arguments.get("top", 10)).orderBy("rank").collect()]
-        warnings = []
-        if formula := arguments.get("formula"):
-            for r in rows:
-                r["formula_match"] = get("graph").formula(r["product"]) == formula
-                r["score"] = round(min(max(r["score"] + (0.08 if r["formula_match"] else -0.20), 0.0), 1.0), 6)
-                if not r["formula_match"]:
-                    warnings.append(f"candidate {r['rank']} does not have the formula {formula}")
-        if hints := arguments.get("hints"):
-            for r in rows:
-                met, missing = get("graph").hints_met(r["product"], hints)
-                r["score"], r["missing_hints"] = round(min(r["score"] + 0.08 * met / len(hints), 1.0), 6), missing
-        rows.sort(key=lambda r: (-r["score"], -r["coverage"]))
-        for k, r in enumerate(rows, 1):
-            r["rank"] = k
-        return result("success" if self.complete else "partial", "ok" if rows else "no_candidates", {"candidates": rows}, warnings)
+        formula, hints = (arguments.get("formula") or "").strip(), list(arguments.get("hints") or [])
+        evidence = (lambda pairs: structure_evidence(pairs, formula, hints)) if formula or hints else None
+        found = overlap_search(self.index, query, self.records, arguments.get("top", 10), evidence)
+        rows = [r.asDict() for r in found.orderBy("rank").collect()]
+        warnings = ["recorded conditions are those of the precedent"] if rows else []
+        for r in rows:
+            r.pop("query")
+            if formula:
+                r["formula_match"] = r.pop("formula_equal")
+                warnings += [] if r["formula_match"] else [f"candidate {r['rank']} does not have the formula {formula}"]
+            if hints:
+                r["missing_hints"] = get("graph").hints_met(r["product"], hints)[1]
+        return result("success" if self.complete else "partial", "ok" if rows else "no_candidates", {"candidates": rows, "provenance": {"records": "reaction table", "query_components": parts}}, warnings)
+
+
+def structure_evidence(pairs: DataFrame, formula: str, hints: list[str]) -> DataFrame:
+    """Adds formula_equal (null without a formula) and matched_share (null without hints) to (query, product), on Arrow batches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chem = get("graph")
+        for b in batches:
+            products = b.column("product").to_pylist()
+            equal = [chem.formula(p) == formula if formula else None for p in products]
+            share = [chem.hints_met(p or "", hints)[0] / len(hints) if hints else None for p in products]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(equal, pa.bool_()), pa.array(share, pa.float64())], names=[*b.schema.names, "formula_equal", "matched_share"])
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pairs.schema.fields)
+    return pairs.mapInArrow(run, f"{kinds}, formula_equal boolean, matched_share double")

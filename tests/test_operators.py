@@ -44,6 +44,22 @@ def test_views(spark):
     assert dataset.positions(df.limit(0), ["id"], "p").count() == 0
 
 
+def test_positions_and_splits_of_many_rows(spark):
+    df = spark.range(200_000).withColumn("k", F.xxhash64("id"))
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    placed = dataset.positions(df, ["k", "id"], "p")
+    seen = placed.agg(F.countDistinct("p").alias("n"), F.min("p").alias("a"), F.max("p").alias("b")).first()
+    assert (seen.n, seen.a, seen.b) == (200_000, 0, 199_999)
+    assert placed.where("p < 3").orderBy("p").select("id").collect() == df.orderBy("k", "id").limit(3).select("id").collect()
+    assert dataset.slice_rows(placed, 70_000, 130_000, "p").count() == 60_000
+    for sizes in ({"train": 60_000, "test": 30_000, "sft": 60_000}, {"train": 9_000, "test": 10}):
+        got = {r.split: r.n for r in dataset.disjoint_splits(df, sizes, 1, "id").groupBy("split").agg(F.countDistinct("id").alias("n")).collect()}
+        assert got == sizes
+    big = dataset.sample(df, 50_000, 1, "id").select("id").collect()
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert len(big) == 50_000 and {r.id for r in big[:10]} <= {r.id for r in dataset.sample(df, 100_000, 1, "id").select("id").collect()}
+
+
 def test_splits_need_enough_rows(spark):
     with pytest.raises(ValueError):
         dataset.disjoint_splits(spark.range(5), {"train": 4, "test": 2}, 1, "id")

@@ -51,7 +51,9 @@ def test_answers_only_after_the_last_call():
     assert reward.evaluate(call('{"name": "look", "arguments": {"q": "x"}}') + payload + "\n" + answer("CCO"), "CCO")["rank"] == 1
     assert reward.evaluate(answer("CCO") + call('{"name": "look", "arguments": {"q": "x"}}') + payload, "CCO")["rank"] is None
     assert reward.evaluate("the answer is CCO", "CCO")["rank"] is None
-    assert reward.evaluate("Answer: CCO", "CCO", o=reward.RewardOptions(strict=False))["rank"] == 1
+    lenient = reward.RewardOptions(strict=False)
+    assert [reward.evaluate(t, "CCO", o=lenient)["rank"] for t in ("SMILES: CCO", "rank 1: CCO", "1. CCC\n2) CCO", "<smiles>CCC, CCO</smiles>", "CCO", "it may be CCO")] == [1, 1, 2, 2, 1, 1]
+    assert reward.free_answers('{"smiles_list": ["A", {"canonical_smiles": "B"}]}') == ["A", "B"] and reward.free_answers('```json\n{"candidates": "C"}\n```\nsmiles: D') == ["C", "D"]
 
 
 def test_validity_penalty_counts_once():
@@ -65,7 +67,8 @@ def test_adapters_and_options():
         reward.compute_scores(["a"], [])
     with pytest.raises(ValueError):
         reward.RewardOptions(weights={"gt_smiles": 1.0})
-    assert reward.truth_of('["CCO"]') == reward.truth_of({"smiles": ["CCO"]}) == reward.truth_of(" CCO ") == "CCO" and reward.truth_of(None) == ""
+    assert reward.truth_of(["CCO"]) == reward.truth_of({"smiles": ["CCO"]}) == reward.truth_of(" CCO ") == reward.truth_of('{"answer": "CCO"}') == "CCO" and reward.truth_of(None) == ""
+    assert reward.truth_of({"ground_truth": "CCO", "smiles": "CCC"}) == "CCO" and reward.truth_of('["CCO"]') == '["CCO"]'
 
 
 def test_transcript_grammar(spark):
@@ -80,7 +83,7 @@ def test_transcript_grammar(spark):
 
 def test_schema_subset():
     s = {"type": "object", "properties": {"a": {"type": "array", "items": {"type": "number", "maximum": 3}}, "b": {"enum": ["x"]}}, "required": ["c"], "additionalProperties": False}
-    assert set(problems({"a": [1, 5, True], "b": "y", "d": 1}, s)) == {"arguments.c is required", "arguments.d is not allowed", "arguments.a[1] must be <= 3", "arguments.a[2] must be number", "arguments.b must be one of ['x']"}
+    assert set(problems({"a": [1, 5, True], "b": "y", "d": 1}, s)) == {"arguments.c is missing", "arguments.d is not a parameter", "arguments.a[1] is above 3", "arguments.a[2] is of type boolean, not number", "arguments.b is none of ['x']"}
 
 
 # --- artifacts and samples -------------------------------------------------------------------------
@@ -95,7 +98,7 @@ def test_compile(spark, tmp_path):
     r = artifacts.compile_samples(df.limit(1), "train", o).first()
     assert [p.role for p in r.prompt] == ["system", "user", "user"] and len(r.raw_prompt) == 2 and r.reward_model.ground_truth == "CCO" and r.extra_info.interaction_kwargs.followup_turns == ["u2"]
     assert r.extra_info.tools_kwargs["look"].create_kwargs is None and json.loads(r.extra_info.reward_config) == {"discount": 0.5}
-    with pytest.raises(Exception, match="non-empty gt_smiles"):
+    with pytest.raises(Exception, match="no ground truth"):
         artifacts.compile_samples(df, "train", o).collect()
     out = artifacts.compile_samples(df, "train", o, on_error="drop")
     assert sinks.write_as(out, str(tmp_path / "a.parquet")) == 1 == sinks.write_as(out, str(tmp_path / "a.jsonl"))
@@ -106,35 +109,49 @@ def test_compile(spark, tmp_path):
 
 def records(spark, n=60, **over):
     block = [("1H NMR", "400 MHz", "CDCl3", "3.70 (q, 2H), 1.20 (t, 3H)"), ("13C NMR", None, None, "58.0, 18.1")]
-    row = {"formula": "C2H6O", "names": ("乙醇", "ethanol"), "precedents": ["CC=O", "C"], "routes": None, "fragments": ["hydroxyl", "", "ether"]} | over
-    rows = [(f"r{i}", "CCO", block, row["formula"], row["names"], row["precedents"], row["routes"], row["fragments"]) for i in range(n)]
-    return spark.createDataFrame(rows, "sample_id string, gt_smiles string, spectra array<struct<type:string,frequency:string,solvent:string,shift_text:string>>, formula string, names struct<chinese:string,english:string>, precedents array<string>, routes array<string>, fragments array<string>")
+    item = lambda parts, template=None, verified=None: (parts, "K2CO3", "Williamson", template, verified)
+    row = {"formula": "C2H6O", "names": ("乙醇", "ethanol"), "precedents": [item(["CC=O", "C"])], "routes": [item(["R"], "a", False), item(["S"], "b", True)], "fragments": [("alcohol", "醇羟基"), ("murcko_scaffold", "x"), ("y", "")], "polymer": [("二元醇", "缩聚")]} | over
+    rows = [(f"r{i}", "CCO", block, *(row[k] for k in ("formula", "names", "precedents", "routes", "fragments", "polymer"))) for i in range(n)]
+    kinds = ", ".join(f"{k} {augment.FACTS[k]}" for k in ("formula", "names", "precedents", "routes", "fragments", "polymer"))
+    return spark.createDataFrame(rows, f"sample_id string, gt_smiles string, spectra array<struct<type:string,frequency:string,solvent:string,shift_text:string>>, {kinds}")
 
 
 def mix(**w):
     return {k: w.get(k, 0.0) for k in augment.INFORMATION}
 
 
+def built(spark, o, n=60, **over):
+    return augment.assemble(augment.plan_samples(records(spark, n, **over), o), o)
+
+
 def test_samples_by_mix_and_placement(spark):
     o = augment.AugmentOptions(mix=mix(formula=1.0), followup=0.0, modality_drop=0.0)
-    got = augment.assemble(augment.plan_samples(records(spark), o), o).collect()
-    assert all(len(r.turns) == 1 and "C2H6O" in r.turns[0].content and "3.70 (q, 2H)" in r.turns[0].content for r in got)
-    o = augment.AugmentOptions(mix=mix(formula=1.0), followup=1.0)
-    got = augment.assemble(augment.plan_samples(records(spark), o), o).collect()
-    assert all(len(r.turns) == 2 and "C2H6O" in r.turns[1].content and "C2H6O" not in r.turns[0].content for r in got)
-    assert all(1 == r.augmentation.n_active or r.augmentation.n_active == 2 for r in got) and any(r.augmentation.n_active == 1 for r in got)
-    o = augment.AugmentOptions(mix=mix(formula=1.0))
-    summary = augment.build_summary(augment.assemble(augment.plan_samples(records(spark, 5, formula=None), o), o)).first()
-    assert summary.degraded == 5 and summary.two_turn == 0
+    assert all(len(r.turns) == 1 and "C2H6O" in r.turns[0].content and "3.70 (q, 2H)" in r.turns[0].content for r in built(spark, o).collect())
+    o = augment.AugmentOptions(mix=mix(formula=1.0), followup=1.0, modality_drop=1.0)
+    got = built(spark, o).collect()
+    assert all(len(r.turns) == r.num_of_queries == 2 and "C2H6O" in r.turns[1].content and "C2H6O" not in r.turns[0].content for r in got)
+    assert all(r.augmentation.num_active_modalities == 1 and len(r.nmr_list) == 2 and len(r.augmentation.dropped_modalities) == 1 for r in got) and len(got[0].asDict()) == 19
+    summary = augment.build_summary(built(spark, augment.AugmentOptions(mix=mix(formula=1.0)), 5, formula=None)).first()
+    assert summary.information_degraded == 5 and summary.multi_turn == 0 and summary.information_types == {"none": 5} and summary.requested_information_types == {"formula": 5} and summary.noised == {}
+
+
+def test_information_of_reactions_and_fragments(spark):
+    o = augment.AugmentOptions(mix=mix(reaction=1.0), followup=0.0, uncertain=0.0)
+    got = built(spark, o).collect()
+    assert all("原料：CC=O、C，条件：K2CO3，反应类型：Williamson" in r.turns[0].content and "化合物合成信息如下" in r.turns[0].content and not r.augmentation.uncertain_tone for r in got)
+    assert any("二元醇（缩聚）" in r.turns[0].content for r in got) and any("二元醇" not in r.turns[0].content for r in got)
+    routes = built(spark, o, precedents=None).collect()
+    assert all("原料：S" in r.turns[0].content and r.augmentation.uncertain_tone and r.augmentation.num_retro_routes == 2 and r.augmentation.askcos_verified and not r.augmentation.has_reaction_precedent for r in routes)
+    assert all("醇羟基" in r.turns[0].content for r in built(spark, augment.AugmentOptions(mix=mix(fragment=1.0), followup=0.0)).collect())
 
 
 def test_rewrites_must_keep_the_spectrum(spark):
-    o = augment.AugmentOptions(mix=mix(none=1.0), modality_drop=0.0)
+    o = augment.AugmentOptions(mix=mix(formula=1.0), modality_drop=0.0, followup=1.0)
     planned = augment.plan_samples(records(spark, 3), o)
     text = planned.orderBy("sample_id").first().spectrum_text
-    rewrites = spark.createDataFrame([("r0", 0, f"Dear all, {text} please"), ("r1", 0, "lost it"), ("r1", 1, text)], "sample_id string, slot int, text string")
-    got = {r.source_sample_id: r for r in augment.assemble(augment.attach_rewrites(planned, rewrites), o, "rewritten").collect()}
-    assert [got[k].augmentation.llm_status for k in ("r0", "r1", "r2")] == ["llm", "rejected_information_loss", "template"] and got["r0"].turns[0].content.startswith("Dear all")
+    rewrites = spark.createDataFrame([("r0", 0, f"Dear all, {text} please"), ("r0", 1, "and C2H6O"), ("r1", 0, "lost it"), ("r1", 1, "C2H6O")], "sample_id string, slot int, text string")
+    got = {r.source_sample_id: r for r in augment.assemble(augment.attach_rewrites(planned, rewrites), o).collect()}
+    assert [got[k].augmentation.llm_status for k in ("r0", "r1", "r2")] == ["llm", "mixed", "template"] and got["r0"].turns[0].content.startswith("Dear all") and got["r1"].turns[1].content == "C2H6O"
 
 
 def test_samples_are_repeatable_and_noise_changes_text(spark):
@@ -192,6 +209,15 @@ def test_sources(spark, tmp_path):
     (tmp_path / "r.txt").write_text("[CH3:1]C>O>CCO |x|\tref\t-\t1.1\tname\nbroken\n")
     a, b = tables.reactions_csv(spark, p("r.csv")).first(), tables.reactions_text(spark, p("r.txt")).first()
     assert a.reactants == ["CC", "O"] and b.reactants == ["[CH3]C"] and b.agents == ["O"] and b.products == ["CCO"] and (b.reference, b.class_name) == ("ref", "name")
+    (tmp_path / "odd.csv").write_bytes("name\n".encode() + b"a\xff\xff\n" + "é\n".encode())
+    assert tables.encoding_of(spark, p("odd.csv")) == "UTF-8" and [r.name for r in tables.export(spark, p("odd.csv")).orderBy("row_index").collect()][1] == "é"
+    (tmp_path / "many").mkdir()
+    for k in range(3):
+        (tmp_path / "many" / f"f{k}.txt").write_text("\n".join(f"{k}-{i}" for i in range(40)) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64b")
+    many = tables.numbered(spark.read.text(p("many")), "n").orderBy("n").collect()
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [(r.n, r.value) for r in many] == [(40 * k + i, f"{k}-{i}") for k in range(3) for i in range(40)]
     spark.createDataFrame([("see CC.O>>CCO, ok",)], "text string").write.parquet(p("e"))
     assert tables.reactions_embedded(spark, p("e")).first().products == ["CCO"]
     os.makedirs(p("logs/run1"))
@@ -224,6 +250,11 @@ def test_registry_and_local_search(spark):
     assert len(r.names) == 13 and r.names[0] == "reaction_local_index_search" and len(r.schemas(["web_search"])) == 1
     got = r.invoke("reaction_local_index_search", {"reaction": "CC.O>>", "formula": "C2H6O"})
     assert [c["product"] for c in got["data"]["candidates"]] == ["CCO", "CCN"] and got["data"]["candidates"][0]["formula_match"] and not got["data"]["candidates"][1]["formula_match"] and got["warnings"]
+    none = LocalSearch(spark.createDataFrame([(0, 0, ["CC", "O"], ["CCN"]), (1, 0, ["CC", "N"], ["CCO"])], "record long, source_ord int, reactants array<string>, products array<string>"))
+    best = none({"reactants": ["CC", "O", "N"], "formula": "C2H6O", "hints": ["alcohol"], "top": 1})["data"]["candidates"]
+    assert [c["product"] for c in best] == ["CCO"] and best[0]["missing_hints"] == []  # evidence counts before the cut
+    assert r.invoke("web_search", '{"query": "x"}')["status"] == "unavailable" and r.invoke("web_search", "[1]")["status"] == "error"
+    r.streaks.clear()
     assert r.invoke("web_search", {"query": "x"})["status"] == "unavailable" and r.invoke("web_search", {})["status"] == "error"
     assert any("3 times" in w for w in r.invoke("web_search", {"query": "x"})["warnings"]) and r.invoke("nope", {})["status"] == "error"
     with pytest.raises(ValueError):
@@ -234,15 +265,22 @@ def test_registry_and_local_search(spark):
 
 def test_structures(spark):
     g = backend.get("graph")
-    assert g.properties("CC(=O)Oc1ccccc1C(=O)O") | {"canonical_smiles": ""} == {"canonical_smiles": "", "molecular_formula": "C9H8O4", "molecular_weight": 180.159, "exact_mass": 180.0423, "heavy_atoms": 13, "rings": 1, "aromatic_rings": 1}
-    assert g.formula("C[N+](C)(C)C") == "C4H12N+" and g.strict("C1CC") is None and g.canonical(" xyz ") == "xyz"
-    names = [f["name"] for f in g.fragments("NC(=O)c1ccncc1")]
-    assert {"amide", "pyridine ring"} <= set(names) and g.fragments("bad!") == []
-    assert "diol" in g.motifs("OCCO") and "vinyl" in g.motifs("C=CC#N")
-    assert g.hints_met("CC(=O)O", ["a carboxylic acid", "a nitrile", "odd"]) == (1, ["a nitrile", "odd"])
+    assert g.properties("CC(=O)Oc1ccccc1C(=O)O") | {"canonical_smiles": ""} == {"canonical_smiles": "", "scaffold": "c1ccccc1", "molecular_formula": "C9H8O4", "molecular_weight": 180.159, "exact_mass": 180.0423, "heavy_atoms": 13, "rings": 1, "aromatic_rings": 1}
+    assert g.formula("C[N+](C)(C)C") == "C4H12N+" and g.strict("C1CC") is None and g.canonical(" xyz ") == "xyz" and g.canonical("OCC") == "CCO"
+    keys = [f["key"] for f in g.fragments("NC(=O)c1ccncc1")]
+    assert {"amide", "pyridine"} <= set(keys) and keys[-1] == "murcko_scaffold" and g.fragments("bad!") == []
+    assert {"steroid_skeleton", "tetracyclic_terpenoid"} <= {f["key"] for f in g.fragments("CC12CCC3C(CCC4CC(O)CCC34C)C1CCC2O", 20)} and g.fragments("CCO", 0) == []
+    assert [f["count"] for f in g.fragments("OCC1OC(OC)C(O)C(O)C1O", 20) if f["key"] in ("pyranose", "glycoside")] == [1, 1]
+    assert [m["key"] for m in g.motifs("OCCO")] == ["diol"] and g.motifs("CCO") == [] and [m["key"] for m in g.motifs("C=Cc1ccccc1")] == ["styrene"]
+    assert g.hints_met("CCO", ["an alcohol", "a nitrile", "odd"]) == (1, ["a nitrile", "odd"]) and g.hints_met("c1ccccc1", ["phenyl", "Aromatic ring"]) == (2, [])
+    assert g.strict("C1=CC=CC=C1O") == g.strict("Oc1ccccc1") and g.strict("C[C@H](N)O") == "C[C@H](N)O" and g.flat("C[C@H](N)O") == g.flat("OC(C)N")
+    assert g.agents(["ClCCl", "OCC", "ClCCl", "XX"]) == ["二氯甲烷", "乙醇", "XX"] and g.holds("OCCO", "[OX2H]", 2) and not g.holds("CCO", "[OX2H]", 2)
+    found = {(r["template"], tuple(r["reactants"])) for r in g.routes("CC(=O)Oc1ccccc1C(=O)O")[0]}
+    assert found == {("aryl_esterification", (g.flat("OC(=O)c1ccccc1O"), "CC(=O)O"))} and g.routes("O=C1CCCCCO1") == ([], "not_found") and g.routes("?") == ([], "invalid_smiles")
+    assert [r["template"] for r in g.routes("Cc1cn(CC)nn1")[0]] == ["click_triazole"] and "CCN=[N+]=[N-]" in g.routes("Cc1cn(CC)nn1")[0][0]["reactants"]
     a, b = g.features("CCO"), g.features("CCN")
     assert a[2] and a[0] != b[0] and len(a[0]) == 256 and len(a[1]) == 9 and not g.features("??")[2]
-    assert backend.components("graph", ["[CH3:1]O", "bad!"], "scan") == (["[CH3]O"], ["bad!"])
+    assert backend.components("graph", ["[CH3:1]O", "bad!"], "scan") == (["CO"], ["bad!"])
     assert backend.same_formula("graph", ["CCO", "CCN"], "C2H6O") == (["CCO"], "1/2 candidates match C2H6O")
     r = {x.s: x for x in backend.with_structure(spark.createDataFrame([("CCO",), ("??",), (None,)], "s string"), "s").collect()}
     assert r["CCO"].formula == "C2H6O" and r["??"].formula is None and r[None].canonical is None

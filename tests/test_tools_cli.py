@@ -25,6 +25,24 @@ def test_results(spark):
     assert results.paper_rows(papers).first().abstract == "x" * 700 + "..." and len(results.paper_rows(papers).first().authors) == 5
 
 
+def test_requests_and_answers():
+    from shiftloom.tools import answers as an
+
+    ask = lambda name, **a: an.SHAPES[name].ask(a)
+    assert ask("nmr_generate")[1] is None and ask("nmr_generate", h_shifts=[1.2, "x"], h_split=["t"], formula="C2H6O")[1]["nmr_type"] == "HF"
+    assert ask("nmr_generate", c_nmr_peaks=[{"delta": "58"}, {"delta": "bad"}])[1]["spec_list"][0]["c_nmr_peaks"] == [{"delta (ppm)": 58.0, "delta": 58.0}]
+    assert an.read_generate({"data": {"sequences": [["OCC", "CCO", "CN"]], "scores": [0.9, 0.8, 0.1]}}, {}) == [{"rank": 1, "smiles": "CCO", "canonical_smiles": "CCO", "score": 0.9, "formula": "C2H6O"}, {"rank": 2, "smiles": "CN", "canonical_smiles": "CN", "score": 0.1, "formula": "CH5N"}]
+    assert ask("nmr_rerank", smiles_list=["CCO", "OCC", "CCN"], formula="C2H6O")[1]["entries"][0]["smiles_list"] == ["CCO"] and ask("nmr_rerank", smiles_list=["CCN"], formula="C2H6O")[1:] == (None, ["formula filter: 0/1 candidates have C2H6O"])
+    assert [r["smiles"] for r in an.read_rerank({"entries": [{"ranking": [{"smiles": "CCO", "h_cost": 1}, {"smiles": "CCN"}, {"smiles": "OCC"}]}]}, {"smiles_list": [], "formula": "C2H6O"})] == ["CCO"]
+    assert ask("nmr_repair", smiles="CCO")[1] is None and ask("nmrexp_search", h_shifts=[1.0], sigma_h=0.3)[1]["config"]["sigma_h"] == 0.3
+    got = an.read_products([{"outcome": {"smiles": "CCO"}, "rank": 1, "score": 2.0}, {"outcome": "OCC", "rank": 2}, {"deep": {"products": ["CCN"], "scores": [1.0]}}], {"formula": "C2H6O"})
+    assert [r["canonical_smiles"] for r in got] == ["CCO", "CCN"] and got[0]["formula_match"] and got[0]["confidence"] == "high" and got[1]["score"] < 0.1
+    assert an.read_products({"products": ["CCO", "CC"]}, {})[1]["score"] == 0.5 and ask("askcos_reaction_forward_predict", reactants=["CC", "?"], backend="Graph2Smiles")[1:] == ({"reactants": "CC", "reagents": "", "solvent": "", "backend": "graph2smiles", "top": 10}, ["unreadable: ?"])
+    assert [h["rank"] for h in an.read_web([{"a": [{"title": "x", "url": "u"}, {"Title": "x", "link": "u"}, {"title": "y"}]}], {})] == [1, 2]
+    assert an.read_wikipedia({"query": {"search": [{"title": "A b", "snippet": "<b>s</b>"}]}}, {})[0]["url"].endswith("A_b") and an.read_works({"message": {"items": [{"title": ["T"], "issued": {"date-parts": [[2020]]}}]}}, {})[0]["year"] == 2020
+    assert an.read_code({"stdout": 'x {"a": 1}', "returncode": 0}, {}) == {"stdout": 'x {"a": 1}', "stderr": "", "return_code": 0, "last_json": {"a": 1}} and ask("code_interpreter", code="```py\nprint(1)\n```")[1]["code"] == "print(1)"
+
+
 def test_cli_from_export_to_artifacts(spark, tmp_path, capsys, monkeypatch):
     monkeypatch.setattr(cli, "session", lambda: spark)
     p = lambda n: str(tmp_path / n)
@@ -43,7 +61,7 @@ def test_cli_from_export_to_artifacts(spark, tmp_path, capsys, monkeypatch):
     assert sum(said().values()) == 4 and spark.read.parquet(p("records.parquet")).where("cluster is null").count() == 0
     records = spark.read.parquet(p("records.parquet")).select(
         "sample_id", "gt_smiles", F.transform("nmr_list", lambda b: F.struct(b["type"].alias("type"), b["frequency"].alias("frequency"), b["solvent"].alias("solvent"), b["shift_text"].alias("shift_text"))).alias("spectra"),
-        F.lit("C2H6O").alias("formula"), F.struct(F.lit(None).cast("string").alias("chinese"), F.lit("x").alias("english")).alias("names"), F.array(F.lit("CC")).alias("precedents"), F.array(F.lit("C")).alias("routes"), F.array(F.lit("ether")).alias("fragments"),
+        F.lit("C2H6O").alias("formula"), F.struct(F.lit(None).cast("string").alias("chinese"), F.lit("x").alias("english")).alias("names")
     )
     records.write.parquet(p("plan.parquet"))
     cli.main(["augment", p("plan.parquet"), p("samples.parquet")])

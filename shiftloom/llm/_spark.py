@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.shared import checkpointed, shared_folder
+
+__all__ = ["checkpointed", "forget", "partitions", "shared_folder", "stored", "table", "texts"]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -18,21 +20,6 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder, which all executors share; set here only where none is named (tests on one machine)."""
-    sc = spark.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-        sc.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "shiftloom-checkpoints"))
-    return sc._jsc.sc().getCheckpointDir().get()
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cuts lineage with a reliable checkpoint in the shared folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def stored(df: DataFrame) -> tuple[DataFrame, str]:
     """The rows written as Parquet in the shared folder and read again, and where they are."""
     path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"

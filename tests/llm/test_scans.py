@@ -151,17 +151,24 @@ def rows_of(sql, columns, **tables):
 
 
 def test_quality_rules_equal_sql_on_odd_rows(odd_docs, no_docs):
-    got = quality_rules.quality_rules(odd_docs)
-    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "removed_chars", "kept"]
-    assert sorted(tuple(str(r[c]) for c in columns) for r in got.collect()) == rows_of(OP4_SQL, columns, documents=odd_docs.select("doc_id", "text", "source").toArrow())
+    got = quality_rules.quality_rules(odd_docs).withColumn("clean_sha256", F.sha2("text", 256))
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "removed_lines", "removed_chars", "clean_sha256", "kept"]
+    documents = odd_docs.select("doc_id", "text", "source").toArrow()  # noqa: F841 (read by name)
+    want = duckdb.sql(OP4_SQL).select(*columns).fetchall()
+    assert sorted(map(repr, want)) == sorted(map(repr, (tuple(r[c] for c in columns) for r in got.collect())))
     assert quality_rules.quality_rules(no_docs).count() == 0
 
 
-def test_depleted_documents_are_rejected(spark):
-    line = "a line of boiler plate that many documents of this host share with each other today and again tomorrow too"
-    rows = [(i, line + "\n" + (prose(i, 60) if i % 2 else "x"), "h") for i in range(60)]
-    got = {r.doc_id: r for r in quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
-    assert not got[0].kept and got[0].depleted and got[1].kept and got[1].removed_chars == len(line)
+def test_boilerplate_is_taken_out_at_any_size(spark):
+    line = "All rights reserved, visit our front page for more of this"
+    for n in (8, 120):
+        rows = [(0, f"{line}\nshort tail", "h")] + [(i, f"{prose(i, 60)}\n {line.upper()}  \n\nend", "h" if i <= n // 4 else "other") for i in range(1, n)]
+        rows += [(1, rows[1][1], "h")] * 3  # a repeated id is one document
+        got = {r.doc_id: r for r in quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+        assert not got[0].kept and got[0].depleted and got[0].text == "short tail"
+        assert got[1].kept and got[1].removed_chars == len(line) and got[1].text == f"{prose(1, 60)}\n\nend" and got[1].removed_lines == 1
+    one = [(1, f"{prose(1, 60)}\n{line}", "h")] * 40 + [(i, prose(i, 60), "h") for i in range(2, 9)]
+    assert all(r.removed_lines == 0 and r.kept for r in quality_rules.quality_rules(spark.createDataFrame(one, "doc_id long, text string, source string")).collect())
 
 
 def test_fm_index_counts_and_locates():

@@ -162,11 +162,11 @@ def test_quality_rules_equal_sql_on_odd_rows(odd_docs, no_docs):
 def test_boilerplate_is_taken_out_at_any_size(spark):
     line = "All rights reserved, visit our front page for more of this"
     for n in (8, 120):
-        rows = [(0, f"{line}\nshort tail", "h")] + [(i, f"{prose(i, 60)}\n {line.upper()}  \n\nend", "h" if i <= n // 4 else "other") for i in range(1, n)]
+        rows = [(0, f"{line}\nshort tail", "h")] + [(i, f"{prose(i, 60)}\n {line.upper()}  \n\nend {i}", "h" if i <= n // 4 else "other") for i in range(1, n)]
         rows += [(1, rows[1][1], "h")] * 3  # a repeated id is one document
         got = {r.doc_id: r for r in quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
         assert not got[0].kept and got[0].depleted and got[0].text == "short tail"
-        assert got[1].kept and got[1].removed_chars == len(line) and got[1].text == f"{prose(1, 60)}\n\nend" and got[1].removed_lines == 1
+        assert got[1].kept and got[1].removed_chars == len(line) and got[1].text == f"{prose(1, 60)}\n\nend 1" and got[1].removed_lines == 1
     one = [(1, f"{prose(1, 60)}\n{line}", "h")] * 40 + [(i, prose(i, 60), "h") for i in range(2, 9)]
     assert all(r.removed_lines == 0 and r.kept for r in quality_rules.quality_rules(spark.createDataFrame(one, "doc_id long, text string, source string")).collect())
 

@@ -293,9 +293,74 @@ def test_base_score_equals_brute_force_and_model_beats_it(spark, odd_docs, no_do
     assert suffix_tree_lm.language_scores(no_docs).count() == 0
 
 
-def test_tree_distributions_sum_to_one(spark):
-    rows = [(i, " ".join(random.Random(i).choice(["a b", "b c", "c a", prose(i, 2)]) for _ in range(80))) for i in range(60)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    letters = suffix_tree_lm.alphabet(suffix_tree_lm.word_counts(docs), 0.01)
-    tree = suffix_tree_lm.grow(docs, letters, 0.01)
-    assert np.allclose((10.0 ** tree.log10.astype(float)).sum(axis=1), 1, atol=1e-4) and len(tree.log10) > 1
+def brute_scores(rows, fold, p_hot, prior, gain, numbered):
+    """The model spelt out on dictionaries: every context of every token, its test, its smoothing."""
+    from collections import defaultdict
+
+    third = lambda w: int(suffix_tree_lm.tokens(*text_buffer(pa.array([w])))[0][0] >> np.uint64(56)) if w else 11 >> 56
+    toks = [re.findall("[^\x20\x09-\x0d]+", (t or "").translate(LOWER)) + ["</end>"] for _, t in rows]
+    train = [t for (d, _), t in zip(rows, toks) if not fold(d)]
+    c = Counter(w for t in train for w in t)
+    n, bar = sum(c.values()), math.log2(max(sum(c.values()), 2))
+    hot = {w for w in c if c[w] >= p_hot * n} | {"</end>"}
+    cls = lambda w: w if w in hot else None
+    rest = sum(c[w] + 1 for w in c if w not in hot) + 1
+    base = {x: c[x] + 1 for x in hot} | {None: sum(c[w] for w in c if w not in hot) + 1}
+    root = {x: k / sum(base.values()) for x, k in base.items()}
+    numbers = {w for w in c if c[w] * numbered >= n} | {"</end>"}
+    written = [c[w] for w in c if w not in numbers]
+
+    def share(w):
+        return (c[w] + 1) / rest if w in numbers else (sum(written) + len(written) + 1) / (len(written) + 1) / rest
+
+    upper, pairs = {(): root}, set()
+    for d in (1, 2):
+        counts = defaultdict(Counter)
+        for t in train:
+            for i in range(d, len(t)):
+                counts[tuple(cls(w) for w in t[i - d : i])][cls(t[i])] += 1
+        if d == 1:
+            pairs = {(w2, w1) for (w2,), k in counts.items() for w1, m in k.items() if w2 and w1 and m >= p_hot * n}
+        for ctx, k in counts.items():
+            total = sum(k.values())
+            up = upper.get(ctx[1:], root)
+            if total >= p_hot * n and total * sum(m / total * math.log2(m / total / up[x]) for x, m in k.items()) >= gain * total + bar:
+                upper[ctx] = {x: (k[x] + prior * len(k) * up[x]) / (total + prior * len(k)) for x in root}
+    records = []
+    for row, t in enumerate(toks):
+        for i in range(1, len(t)):
+            w1, w2, w3 = t[i - 1], t[i - 2] if i > 1 else "<b>", t[i - 3] if i > 2 else None
+            level = 1 if cls(w1) is None else 3 if i > 1 and (cls(w2), w1) in pairs else 2
+            state = upper.get((cls(w1),), root)
+            if level >= 2 and i > 1:
+                state = upper.get((cls(w2), cls(w1)), state)
+            p = state[cls(t[i])] * (1 if cls(t[i]) else share(t[i]))
+            contexts = {1: (w1,), 2: (w1, w2), 3: (w1, w2, third(w3)) if i > 1 else None}
+            records.append([row, t[i], p, {d: x for d, x in contexts.items() if d >= level and x}])
+    for d in (1, 2, 3):
+        counts = defaultdict(Counter)
+        for row, w, _, ctx in records:
+            if d in ctx and not fold(rows[row][0]):
+                counts[ctx[d]][w] += 1
+        ps = {(ctx[d], w): p for _, w, p, ctx in records if d in ctx}
+        kept = {x for x, k in counts.items() if (m := sum(k.values())) and sum(v * math.log2(v / m / ps[x, w]) for w, v in k.items()) >= gain * m + bar}
+        for r in records:
+            if d in r[3] and r[3][d] in kept:
+                k = counts[r[3][d]]
+                r[2] = (k[r[1]] + prior * len(k) * r[2]) / (sum(k.values()) + prior * len(k))
+    out = [math.log10(root[cls(t[0])] * (1 if cls(t[0]) else share(t[0]))) for t in toks]
+    for row, _, p, _ in records:
+        out[row] += math.log10(p)
+    return out
+
+
+@pytest.mark.parametrize(("p_hot", "numbered"), [(0.02, 62_500), (0.05, 300), (0.6, 40)])
+def test_scores_equal_brute_force(spark, p_hot, numbered):
+    r = random.Random(3)
+    common = ["the", "of", "and", "to"]
+    rows = [(i, " ".join(r.choice(common) if r.random() < 0.45 else w for w in prose(i % 25, 40).split())) for i in range(60)] + [(100 + i, prose(i // 2, 50)) for i in range(20)] + [(200, None), (201, "new words here"), (None, "the of")]
+    fold = lambda d: d is not None and zlib.crc32(str(d).encode()) % 7 == 2
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sorted((str(x.doc_id), round(x.score, 4)) for x in suffix_tree_lm.language_scores(df, p_hot=p_hot, prior=2.5, numbered=numbered).collect())
+    want = sorted((str(d), round(v, 4)) for (d, _), v in zip(rows, brute_scores(rows, fold, p_hot, 2.5, 0.0, numbered)))
+    assert [k for k, _ in got] == [k for k, _ in want] and max(abs(a - b) for (_, a), (_, b) in zip(got, want)) < 1e-3

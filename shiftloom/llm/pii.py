@@ -4,9 +4,8 @@ Base kinds (email, ip, card, phone) follow their patterns leftmost and non-overl
 matches that fail their check are dropped. They are found from their rarest byte (``@``, the first
 digit of a run, ``+``), so cost is linear in the text.
 
-The CRF labels windows of words around trigger words, those with a digit, ``=``, a double quote or
-a written-out "at"; all other words are outside by definition. Its spans (email, phone, id, secret)
-are added where they overlap no base span. It is trained on the driver from the small labelled table.
+The CRF labels every word of every text. Its spans (email and phone in unusual spellings, id, secret, person,
+birth) are added where they overlap no base span. It is trained on the driver from the small labelled table.
 
 Defined cases: null and empty texts have no spans; offsets are code points, ends exclusive; spans
 never cross documents; repeated rows are rows of their own; extra columns are ignored.
@@ -14,6 +13,7 @@ never cross documents; repeated rows are rows of their own; extra columns are ig
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 from collections.abc import Iterator
@@ -22,23 +22,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ._bytes import LOWER, SPACED, byte_class, char_positions, chunks, hash_spans, ranges, words
+from ._bytes import SPACED, byte_class, char_positions, chunks, words
 from ._spark import texts
 from .decontaminate import exchanged
-from .crf import LABELS, Features, LinearChainCRF, labelled_table
+from .crf import KINDS, LABELS, MOST_WORDS, Emitter, LinearChainCRF, labelled_table
 
 #: Kinds in the order in which spans of one start are listed.
-ORDER = ("email", "ip", "card", "phone", "id", "secret")
+ORDER = ("email", "ip", "card", "phone", *(k for k in KINDS if k not in ("email", "phone")))
 _LOCAL = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(rb"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(rb"[0-9]++\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(rb"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(rb"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = byte_class(lambda b: 48 <= b <= 57)
-_TRIGGER = byte_class(lambda b: 48 <= b <= 57 or b in b'="@')
-REACH = 5
-#: Written-out signs that make a word a trigger (fixed values).
-SPELT = ("(at)", "[at]", "dot", "(dot)", "[dot]")
 
 
 def luhn(digits: bytes) -> bool:
@@ -91,58 +87,31 @@ def base_spans(data: bytes, buf: np.ndarray, off: np.ndarray) -> list[tuple[int,
     return out
 
 
-def _trigger_words(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    n = len(buf)
-    sums = np.zeros(n + 1, np.int32)
-    np.cumsum(_TRIGGER[buf], out=sums[1:])
-    hit = sums[ends] > sums[starts]
-    short = np.flatnonzero((ends - starts <= 5) & ~hit)
-    spelt = [np.frombuffer(x.encode(), np.uint8) for x in SPELT]
-    pad = np.zeros(64, np.uint8)
-    keys = [hash_spans(np.concatenate([x, pad]), np.array([0]), np.array([len(x)]))[0] for x in spelt]
-    low = LOWER[buf]
-    found = np.isin(hash_spans(low, starts[short], (ends - starts)[short]), np.array(keys, np.uint64))
-    hit[short[found]] = True
-    return hit
-
-
-def crf_spans(model: LinearChainCRF, features: Features, data: bytes, buf: np.ndarray, off: np.ndarray) -> list[tuple[int, str, int, int]]:
-    """(row, kind, start, end) in bytes of the chunk, from Viterbi over windows around trigger words."""
+def crf_spans(model: LinearChainCRF, emitter: Emitter, data: bytes, buf: np.ndarray, off: np.ndarray) -> list[tuple[int, str, int, int]]:
+    """(row, kind, start, end) in bytes of the chunk, from Viterbi over all words."""
     starts, ends, word_off = words(buf, off, SPACED)
     if not len(starts):
         return []
-    hit = np.flatnonzero(_trigger_words(buf, starts, ends))
-    if not len(hit):
-        return []
-    row = np.searchsorted(word_off, hit, "right") - 1
-    low, high = np.maximum(hit - REACH, word_off[row]), np.minimum(hit + REACH + 1, word_off[row + 1])
-    fresh = np.concatenate([[True], (low[1:] > high[:-1]) | (row[1:] != row[:-1])])
-    begin = low[fresh]
-    stop = high[np.concatenate([np.flatnonzero(fresh)[1:] - 1, [len(hit) - 1]])]
-    lengths = stop - begin
-    seq_row = row[fresh]
-    token = ranges(begin, lengths)
-    spelt = [data[a:b].decode("utf-8", "replace") for a, b in zip(starts[token].tolist(), ends[token].tolist(), strict=True)]
-    at = np.concatenate([[0], np.cumsum(lengths)])
-    x = np.concatenate([features.matrix(spelt[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)])
-    label = model.decode(x, lengths)
+    label = model.decode(emitter(buf, starts, ends, word_off), word_off)
     out = []
     for i in np.flatnonzero((label > 0) & (label % 2 == 1)).tolist():  # the begin labels
-        seq = int(np.searchsorted(at, i, "right")) - 1
+        row = int(np.searchsorted(word_off, i, "right")) - 1
         j = i + 1
-        while j < at[seq + 1] and label[j] == label[i] + 1:
+        while j < word_off[row + 1] and label[j] == label[i] + 1:
             j += 1
-        a, b = int(starts[token[i]]), int(ends[token[j - 1]])
+        if j - i > MOST_WORDS:
+            continue
+        a, b = int(starts[i]), int(ends[j - 1])
         while a < b and data[a] in b"\"'<([{" and not (data[a] in b"(" and data[a + 1 : a + 2].isdigit()):
             a += 1
         while a < b and data[b - 1] in b".,;:!?\"'>)]}":
             b -= 1
         if a < b:
-            out.append((int(seq_row[seq]), LABELS[label[i]][2:], a, b))
+            out.append((row, LABELS[label[i]][2:], a, b))
     return out
 
 
-def find_spans(model: LinearChainCRF, features: Features, buf: np.ndarray, off: np.ndarray) -> tuple[list[list[tuple[str, int, int]]], list[list[tuple[str, int, int]]]]:
+def find_spans(model: LinearChainCRF, emitter: Emitter, buf: np.ndarray, off: np.ndarray) -> tuple[list[list[tuple[str, int, int]]], list[list[tuple[str, int, int]]]]:
     """(base, all) spans of each row in bytes of the chunk, by start, then kind."""
     n = len(off) - 1
     data = buf[: int(off[-1])].tobytes()
@@ -150,7 +119,7 @@ def find_spans(model: LinearChainCRF, features: Features, buf: np.ndarray, off:
     for row, kind, a, b in base_spans(data, buf, off):
         base[row].append((kind, a, b))
     every = [list(x) for x in base]
-    for row, kind, a, b in crf_spans(model, features, data, buf, off):
+    for row, kind, a, b in crf_spans(model, emitter, data, buf, off):
         if all(b <= c or d <= a for _, c, d in every[row]):
             every[row].append((kind, a, b))
     by = lambda s: (s[1], ORDER.index(s[0]), s[2])
@@ -159,9 +128,9 @@ def find_spans(model: LinearChainCRF, features: Features, buf: np.ndarray, off:
 
 def _finder(model: LinearChainCRF):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features()
+        emitter = Emitter(model.emission)
         for rows, buf, off in chunks(batches, "text"):
-            base, every = find_spans(model, features, buf, off)
+            base, every = find_spans(model, emitter, buf, off)
             n = rows.num_rows
             counts = np.zeros((4, n), np.int64)
             digest, said = [hashlib.sha256(b"").hexdigest()] * n, [""] * n
@@ -179,7 +148,9 @@ def _finder(model: LinearChainCRF):
     return find
 
 
+@functools.cache
 def train() -> LinearChainCRF:
+    """The model of the labelled table (the same in every process)."""
     return LinearChainCRF.fit(labelled_table())
 
 
@@ -203,9 +174,9 @@ def mask(docs: DataFrame, text: str = "text", n_chars: str = "n_chars", model: L
     model = model or train()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features()
+        emitter = Emitter(model.emission)
         for rows, buf, off in chunks(batches, text):
-            _, every = find_spans(model, features, buf, off)
+            _, every = find_spans(model, emitter, buf, off)
             hit = np.array([i for i, spans in enumerate(every) if spans], np.int64)
             yield exchanged(rows, hit, [masked(buf, int(off[i]), int(off[i + 1]), every[i]) for i in hit.tolist()], text, n_chars) if len(hit) else rows
 

@@ -7,8 +7,8 @@ repetition). Rectified outputs are max-pooled over overlapping chunks of 512 byt
 which cover the whole text; the maximum and the mean over a text's chunks meet in one logistic unit.
 
 Each text starts on a row and a block of its own, so a score does not depend on its neighbours.
-Training fits all weights with Adam on a bounded sample of labelled texts (``train_docs``, at most
-``train_bytes`` of a text, a random stretch of longer ones); scoring reads whole texts.
+Training fits all weights with Adam on a bounded number of labelled texts (``train_docs``, one text an id), each read whole, as
+scoring does; long texts go through the filters a slice at a time.
 
 Defined cases: null and empty texts are scored like a text without bytes; a null id is never held
 out; labels other than 0 and 1 and labels without a document are ignored; with labels of one class
@@ -88,7 +88,8 @@ def convolve(w: Weights, g: Grid, first: int, count: int) -> np.ndarray:
     return np.maximum(z, 0, out=z)
 
 
-def block_maxima(w: Weights, g: Grid) -> np.ndarray:
+def block_maxima(w: Weights, g: Grid, places: np.ndarray | None = None) -> np.ndarray:
+    """(blocks, FILTERS): each filter's maximum in a block; its row within the block goes to ``places`` where that is given."""
     rows = int(g.block_off[-1]) * BLOCK
     out = np.empty((int(g.block_off[-1]), FILTERS), np.float32)
     last_rows = np.zeros(rows, bool)
@@ -97,7 +98,13 @@ def block_maxima(w: Weights, g: Grid) -> np.ndarray:
         count = min(SLICE_ROWS, rows - at)
         z = convolve(w, g, at, count)
         z[last_rows[at : at + count]] = 0
-        out[at // BLOCK : (at + count) // BLOCK] = z.reshape(-1, BLOCK, FILTERS).max(axis=1)
+        z = z.reshape(-1, BLOCK, FILTERS)
+        here = slice(at // BLOCK, (at + count) // BLOCK)
+        if places is None:
+            out[here] = z.max(axis=1)
+        else:
+            places[here] = z.argmax(axis=1)
+            out[here] = np.take_along_axis(z, places[here][:, None, :].astype(np.int64), 1)[:, 0]
     return out
 
 
@@ -140,7 +147,7 @@ class _Adam:
             p -= self.rate * (m / (1 - 0.9**self.t)) / (np.sqrt(v / (1 - 0.99**self.t)) + 1e-7)
 
 
-def fit(column: pa.Array, quality: np.ndarray, epochs: int = 5, batch: int = 32, rate: float = 0.01, train_bytes: int = 1 << 14, seed: int = 5) -> Weights:
+def fit(column: pa.Array, quality: np.ndarray, epochs: int = 5, batch: int = 32, rate: float = 0.01, seed: int = 5) -> Weights:
     rng = np.random.default_rng(seed)
     width = WIDTH * ROW * EMBED
     w = Weights(rng.normal(0, 0.5, (256, EMBED)).astype(np.float32), rng.normal(0, 0.15, (width + 2, FILTERS)).astype(np.float32), np.concatenate([rng.normal(0, 0.1, 2 * FILTERS), [0.0]]).astype(np.float32))
@@ -156,13 +163,7 @@ def fit(column: pa.Array, quality: np.ndarray, epochs: int = 5, batch: int = 32,
         order = rng.permutation(len(quality))
         for at in range(0, len(order), batch):
             pick = order[at : at + batch]
-            parts = []
-            for i in pick:
-                a, b = int(off[i]), int(off[i + 1])
-                if b - a > train_bytes:
-                    a += int(rng.integers(0, b - a - train_bytes))
-                    b = a + train_bytes
-                parts.append(buf[a:b])
+            parts = [buf[off[i] : off[i + 1]] for i in pick]
             po = np.concatenate([[0], np.cumsum([len(x) for x in parts])])
             g = lay_out(np.concatenate([*parts, np.zeros(8, np.uint8)]), po)
             adam.step(_gradient(w, g, quality[pick]))
@@ -170,13 +171,9 @@ def fit(column: pa.Array, quality: np.ndarray, epochs: int = 5, batch: int = 32,
 
 
 def _gradient(w: Weights, g: Grid, quality: np.ndarray) -> list[np.ndarray]:
-    rows, blocks = int(g.block_off[-1]) * BLOCK, int(g.block_off[-1])
-    z = convolve(w, g, 0, rows)
-    for k in (1, 2):
-        z[g.block_off[1:] * BLOCK - k] = 0
-    z = z.reshape(blocks, BLOCK, FILTERS)
-    arg = z.argmax(axis=1)
-    maxima = np.take_along_axis(z, arg[:, None, :], 1)[:, 0]
+    blocks = int(g.block_off[-1])
+    arg = np.zeros((blocks, FILTERS), np.int64)
+    maxima = block_maxima(w, g, arg)
     feature = pooled(maxima, g.block_off)
     d = ((sigmoid(feature @ w.top[:-1] + w.top[-1]) - quality) / len(quality)).astype(np.float32)
     g_top = np.concatenate([feature.T @ d, [d.sum()]]).astype(np.float32) + np.float32(1e-4) * w.top
@@ -214,18 +211,16 @@ def held_out(doc_id: str = "doc_id", folds: int = 5, fold: int = 0) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % folds == fold, F.lit(False))
 
 
-def train_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", train_docs: int = 3000, train_chars: int = 1 << 14) -> Weights:
-    """Weights from at most ``train_docs`` labelled rows outside the held-out fold, drawn by a hash of the id.
+def train_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", train_docs: int = 3000) -> Weights:
+    """Weights from at most ``train_docs`` labelled ids outside the held-out fold, drawn by a hash of the id, one whole text each.
 
-    Of a text over ``train_chars`` characters a stretch of that length is read, its start drawn by the same hash.
+    Of several rows with one id the least text is taken, so no more rows than ids reach the driver.
     """
     marks = labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where(F.col("quality").isin(0, 1) & ~held_out()).where(F.col("doc_id").isNotNull())
     chosen = marks.groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_docs)
     # the chosen ids are train_docs rows at most: a proven bound for the broadcast
-    start = 1 + F.pmod(F.xxhash64("doc_id"), F.greatest(F.lit(1), F.length("text") - train_chars + 1))
-    stretch = F.substring(F.col("text"), start.cast("int"), F.lit(train_chars))
-    rows = texts(docs, doc_id, text).join(F.broadcast(chosen), "doc_id").select("doc_id", stretch.alias("text"), "quality").toArrow()
-    rows = rows.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    met = texts(docs, doc_id, text).join(F.broadcast(chosen), "doc_id")
+    rows = met.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("quality").alias("quality")).toArrow().sort_by("doc_id")
     return fit(rows.column("text"), np.asarray(rows.column("quality"), dtype=np.float32))
 
 

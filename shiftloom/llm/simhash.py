@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,6 +98,15 @@ def _cell_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(who.view(np.int64)), pa.array(down)], names=["cell", "fp", "down"])
 
 
+def manhattan(a: Column, b: Column) -> Column:
+    """The Manhattan distance of two fingerprints' embeddings: per 2-bit segment, 1 where the parities of the counts differ, 2 where one is full and the other empty."""
+    low = F.lit(0x5555555555555555)
+    odd = lambda x: x.bitwiseXOR(F.shiftrightunsigned(x, 1)).bitwiseAND(low)
+    full = lambda x: x.bitwiseAND(F.shiftrightunsigned(x, 1)).bitwiseAND(low)
+    differ = odd(a).bitwiseXOR(odd(b))
+    return F.bit_count(differ) + 2 * F.bit_count(full(a).bitwiseXOR(full(b)).bitwiseAND(F.bitwise_not(differ)))
+
+
 def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(a, b), a < b: distinct fingerprints at a Hamming distance of at most ``radius`` (3 at most)."""
     if radius > 3:
@@ -106,18 +115,23 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     own = cells.where(~F.col("down")).select("cell", F.col("fp").alias("a"))
     near = cells.select("cell", F.col("fp").alias("b"), "down")
     apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    pairs = own.join(near, (own["cell"] == near["cell"]) & (F.col("down") | (F.col("a") < F.col("b"))) & (F.col("a") != F.col("b")) & (apart <= radius))
+    pairs = own.join(near, (own["cell"] == near["cell"]) & (F.col("down") | (F.col("a") < F.col("b"))) & (F.col("a") != F.col("b")) & (manhattan(F.col("a"), F.col("b")) <= radius) & (apart <= radius))
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def components(pairs: DataFrame, rounds: int = 60) -> DataFrame:
-    """(node, root): root is the least node of each node's component; nodes without a link are absent."""
+    """(node, root): root is the least node of each node's component; nodes without a link are absent.
+
+    Minima are partial aggregates. They are stored before they are joined back, so that both sides of the join come straight from
+    a shuffle and AQE can split a node with many neighbours.
+    """
     edges = checkpointed(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")))
     for _ in range(rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        least = checkpointed(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")))
         large = both.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where(F.col("u") != F.col("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = checkpointed(large)
+        low = checkpointed(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where(F.col("u") != F.col("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct()
         small = checkpointed(small)
         # a forest of stars: no node is both a leaf and a centre, and no leaf has two centres
@@ -155,13 +169,13 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     chosen = labelled(docs, doc_id, text).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     chosen = chosen.groupBy("root").agg(F.min(F.struct("fp", "doc_id")).alias("x"))
     place = lambda i, p: F.xxhash64(F.coalesce(i.cast("string"), F.lit("-")), p)
-    chosen = chosen.select(place(F.col("x.doc_id"), F.col("x.fp")).alias("_place"))
+    chosen = chosen.select(place(F.col("x.doc_id"), F.col("x.fp")).alias("__place"))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, buf, off in chunks(batches, text):
             prints = fingerprints(*shingle_hashes(buf, off)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(prints)], names=[*rows.schema.names, "_fp"])
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(prints)], names=[*rows.schema.names, "__fp"])
 
-    schema = T.StructType([*docs.schema.fields, T.StructField("_fp", T.LongType())])
-    printed = docs.mapInArrow(add, schema).withColumn("_place", place(F.col(doc_id), F.col("_fp")))
-    return printed.join(chosen, "_place", "left_semi").dropDuplicates(["_place"]).drop("_place", "_fp")
+    schema = T.StructType([*docs.schema.fields, T.StructField("__fp", T.LongType())])
+    printed = docs.mapInArrow(add, schema).withColumn("__place", place(F.col(doc_id), F.col("__fp")))
+    return printed.join(chosen, "__place", "left_semi").dropDuplicates(["__place"]).drop("__place", "__fp")

@@ -4,13 +4,13 @@ A window is ``width`` consecutive words of a benchmark item (a shorter item is o
 task indexes its shard of documents as word symbols and backward-searches all distinct windows;
 occurrences are located by sampled suffix positions and merged into spans of hit words.
 
-Before a shard is indexed, words that cannot lie in an occurrence go: an occurrence consists of
-benchmark words whose neighbours are neighbours in some window, so only runs of such words, as long
-as the shortest window, are kept. This loses nothing. Words are compared by 64-bit hashes.
+Every word of a shard is in its index, with a separator after each document; the alphabet is that of the benchmark, and words
+that no item has are separators too, as no window holds them. Words are compared by 64-bit hashes.
 
 The benchmark is the query set. It reaches the tasks by broadcast in blocks of at most
 ``block_bytes`` of text (measured first; items are dealt to blocks by a hash), each block one pass
-over the documents; there is no limit on the number of blocks.
+over the documents, one block after the other: a pass is stored and its block given up before the next is read. There is no
+limit on the number of blocks.
 
 Defined cases: null texts have no words; a null item id hits words but is not listed; repeated item
 ids count once; repeated document rows are rows of their own; empty tables give no hits or no rows;
@@ -29,13 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._bytes import ALNUM, LOWER, chunks, code_points, hash_spans, merged, ranges, replace_column, text_array, text_buffer, words
+from ._spark import checkpointed
 from .fm_index import FMIndex
 
 WIDTH = 10
 BLOCK_BYTES = 16 << 20
 SHARD_BYTES = 8 << 20
-_PAIR = np.uint64(0x9E3779B97F4A7C15)
-_SLOTS = 22
 
 
 def word_hashes(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -44,26 +43,14 @@ def word_hashes(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return hash_spans(low, starts, ends - starts), starts, ends, word_off
 
 
-def _pairs(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    x = (left * _PAIR) ^ right
-    x ^= x >> np.uint64(31)
-    return ((x * _PAIR) >> np.uint64(64 - _SLOTS)).astype(np.int64)
-
-
 @dataclass
 class Windows:
     """The windows of a block of items as symbol matrices by length."""
 
     vocabulary: np.ndarray  # sorted hashes; symbol = index + 1
-    pair_slots: np.ndarray  # slots of neighbouring words
-    single_slots: np.ndarray  # slots of words that are windows by themselves
     by_length: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]  # length, patterns, item_off, items
     ids: list  # item id of each item
 
-    @property
-    def shortest(self) -> int:
-        return min((n for n, *_ in self.by_length), default=0)
-
 
 def build_windows(items: pa.Table, width: int) -> Windows:
     buf, off = text_buffer(items.column("text"))
@@ -72,7 +59,6 @@ def build_windows(items: pa.Table, width: int) -> Windows:
     symbol = np.searchsorted(vocabulary, h) + 1
     n = np.diff(word_off)
     found: dict[int, tuple[list, list]] = {}
-    pair, single = [], []
     for i in range(len(n)):
         a, b = word_off[i], word_off[i + 1]
         size = min(width, b - a)
@@ -81,55 +67,30 @@ def build_windows(items: pa.Table, width: int) -> Windows:
         rows = np.lib.stride_tricks.sliding_window_view(symbol[a:b], size)
         found.setdefault(int(size), ([], []))[0].append(rows)
         found[int(size)][1].append(np.full(len(rows), i))
-        pair.append(_pairs(h[a : b - 1], h[a + 1 : b]))
-        if size == 1:
-            single.append(h[a:b])
     by_length = []
     for size, (rows, owner) in sorted(found.items()):
         patterns, of = np.unique(np.concatenate(rows), axis=0, return_inverse=True)
         owned = np.unique(np.stack([of.ravel(), np.concatenate(owner)], axis=1), axis=0)
         by_length.append((size, patterns.astype(np.int64), np.searchsorted(owned[:, 0], np.arange(len(patterns) + 1)), owned[:, 1]))
-    cat = lambda x, kind: np.unique(np.concatenate(x)) if x else np.zeros(0, kind)
-    return Windows(vocabulary, cat(pair, np.int64), cat(single, np.uint64), by_length, items.column("item_id").to_pylist())
-
-
-def shard_symbols(h: np.ndarray, word_off: np.ndarray, w: Windows, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(symbols, word): the words that can lie in an occurrence, runs closed by a separator (symbol 0, word -1)."""
-    n = len(h)
-    link = np.zeros(n, bool)  # word i and i + 1 are neighbours in some window
-    if n > 1:
-        link[:-1] = slots[_pairs(h[:-1], h[1:])]
-        link[word_off[1:-1][(word_off[1:-1] > 0)] - 1] = False
-        link[n - 1] = False
-    if len(w.single_slots):
-        alone = np.isin(h, w.single_slots)
-    else:
-        alone = np.zeros(n, bool)
-    inside = link | alone
-    inside[1:] |= link[:-1]
-    begins = np.flatnonzero(inside & ~np.concatenate([[False], link[:-1]]))
-    if not len(begins):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    kept = np.flatnonzero(inside)
-    length = np.diff(np.concatenate([np.searchsorted(kept, begins), [len(kept)]]))
-    good = length >= w.shortest
-    word = ranges(begins[good], length[good])
-    if not len(word):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    at = np.searchsorted(w.vocabulary, h[word])
-    symbol = np.where(w.vocabulary[np.minimum(at, len(w.vocabulary) - 1)] == h[word], at + 1, 0)
-    place = np.arange(len(word)) + np.repeat(np.arange(int(good.sum())), length[good])
-    symbols, words_at = np.zeros(len(word) + int(good.sum()), np.int64), np.full(len(word) + int(good.sum()), -1, np.int64)
-    symbols[place], words_at[place] = symbol, word
-    return symbols, words_at
-
-
-def shard_hits(h: np.ndarray, word_off: np.ndarray, w: Windows, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    return Windows(vocabulary, by_length, items.column("item_id").to_pylist())
+
+
+def shard_symbols(h: np.ndarray, word_off: np.ndarray, w: Windows) -> tuple[np.ndarray, np.ndarray]:
+    """(symbols, word): all words of the shard, a separator (symbol 0, word -1) after each document."""
+    docs = len(word_off) - 1
+    at = np.minimum(np.searchsorted(w.vocabulary, h), len(w.vocabulary) - 1)
+    place = np.arange(len(h)) + np.repeat(np.arange(docs), np.diff(word_off))
+    symbols, word = np.zeros(len(h) + docs, np.int64), np.full(len(h) + docs, -1, np.int64)
+    symbols[place], word[place] = np.where(w.vocabulary[at] == h, at + 1, 0), np.arange(len(h))
+    return symbols, word
+
+
+def shard_hits(h: np.ndarray, word_off: np.ndarray, w: Windows) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, row, item): merged spans of hit words, and distinct (row, item) pairs."""
     none = np.zeros(0, np.int64)
-    symbols, word = shard_symbols(h, word_off, w, slots)
-    if not len(symbols):
+    if not len(h) or not len(w.vocabulary):
         return none, none, none, none
+    symbols, word = shard_symbols(h, word_off, w)
     index = FMIndex(symbols, len(w.vocabulary))
     starts, ends, pairs = [], [], []
     for size, patterns, item_off, items in w.by_length:
@@ -167,11 +128,9 @@ def split_at_rows(start: np.ndarray, end: np.ndarray, word_off: np.ndarray) -> t
 def _scanner(block, width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w: Windows = block.value
-        slots = np.zeros(1 << _SLOTS, bool)
-        slots[w.pair_slots] = True
         for rows, buf, off in chunks(batches, "text", SHARD_BYTES):
             h, starts, ends, word_off = word_hashes(buf, off)
-            a, b, row, item = shard_hits(h, word_off, w, slots)
+            a, b, row, item = shard_hits(h, word_off, w)
             a, b, span_row = split_at_rows(a, b, word_off)
             n = rows.num_rows
             span_off = np.searchsorted(span_row, np.arange(n + 1))
@@ -189,22 +148,29 @@ def _scanner(block, width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator
 SCAN_SCHEMA = "key long, row long, n_words long, first_word array<long>, end_word array<long>, first_byte array<long>, end_byte array<long>, items array<string>"
 
 
-def _benchmark_blocks(benchmark: DataFrame, width: int, block_bytes: int) -> list:
-    """Broadcasts of the benchmark's windows, ``block_bytes`` of text or less each (but for a larger single item)."""
+def _blocks(benchmark: DataFrame, block_bytes: int) -> list[DataFrame]:
+    """The benchmark's items in blocks of ``block_bytes`` of text or less each (but for a larger single item)."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     blocks = max(1, -(-int(size) // block_bytes))
-    parts = [items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k) for k in range(blocks)]
-    return [benchmark.sparkSession.sparkContext.broadcast(build_windows(part.toArrow(), width)) for part in parts]
+    return [items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k) for k in range(blocks)]
+
+
+def _shared(items: DataFrame, width: int):
+    return items.sparkSession.sparkContext.broadcast(build_windows(items.toArrow(), width))
 
 
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> tuple[int, DataFrame]:
     """(number of passes, a row per row of ``docs`` and pass: spans of hit words and the items found)."""
-    blocks = _benchmark_blocks(benchmark, width, block_bytes)
+    blocks = _blocks(benchmark, block_bytes)
     source = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text")).withColumn("row", F.xxhash64("text"))
     out = None
-    for k, block in enumerate(blocks):
+    for k, items in enumerate(blocks):
+        block = _shared(items, width)
         found = source.mapInArrow(_scanner(block, width), SCAN_SCHEMA).withColumn("block", F.lit(k))
+        if len(blocks) > 1:
+            found = checkpointed(found)
+            block.destroy()
         out = found if out is None else out.unionByName(found)
     return len(blocks), out
 
@@ -258,11 +224,9 @@ def cut_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", n_chars
     def cutter(block):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             w: Windows = block.value
-            slots = np.zeros(1 << _SLOTS, bool)
-            slots[w.pair_slots] = True
             for rows, buf, off in chunks(batches, text, SHARD_BYTES):
                 h, starts, ends, word_off = word_hashes(buf, off)
-                a, b, _, _ = shard_hits(h, word_off, w, slots)
+                a, b, _, _ = shard_hits(h, word_off, w)
                 if not len(a):
                     yield rows
                     continue
@@ -275,8 +239,13 @@ def cut_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", n_chars
 
         return run
 
-    for block in _benchmark_blocks(benchmark, width, block_bytes):
+    blocks = _blocks(benchmark, block_bytes)
+    for items in blocks:
+        block = _shared(items, width)
         docs = docs.mapInArrow(cutter(block), docs.schema)
+        if len(blocks) > 1:
+            docs = checkpointed(docs)
+            block.destroy()
     return docs
 
 

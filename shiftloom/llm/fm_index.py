@@ -10,24 +10,33 @@ import numpy as np
 
 
 def suffix_order(symbols: np.ndarray) -> np.ndarray:
-    """Suffix positions in order by prefix doubling; each separator is a symbol of its own."""
+    """Suffix positions in order by prefix doubling; each separator is a symbol of its own, and suffixes told apart are not sorted again."""
     n = len(symbols)
     gaps = np.flatnonzero(symbols == 0)
     rank = symbols.astype(np.int64) + len(gaps)
     rank[gaps] = np.arange(len(gaps))
+    order = np.argsort(rank, kind="stable")
+    new = np.concatenate([[True], np.diff(rank[order]) != 0])
+    head = np.maximum.accumulate(np.where(new, np.arange(n), 0))  # a suffix's rank: where its group begins
+    rank[order] = head
+    size = np.diff(np.concatenate([np.flatnonzero(new), [n]]))
+    live = np.flatnonzero(np.repeat(size > 1, size))
     step = 1
-    while True:
-        key = rank * (n + len(gaps) + int(symbols.max(initial=0)) + 2)
-        key[:-step] += rank[step:] + 1
-        order = np.argsort(key, kind="stable")
-        new = np.empty(n, np.int64)
-        new[order] = np.concatenate([[0], np.cumsum(np.diff(key[order]) != 0)])
-        rank = new
-        if n == 0 or rank[order[-1]] == n - 1:
-            return order
+    while len(live):
+        at = order[live]
+        behind = at + step
+        key = np.where(behind < n, rank[np.minimum(behind, n - 1)] + 1, 0)
+        sort = np.lexsort((key, head[live]))
+        at, key, group = at[sort], key[sort], head[live]
+        order[live] = at
+        new = np.ones(len(live), bool)
+        new[1:] = (group[1:] != group[:-1]) | (key[1:] != key[:-1])
+        head[live] = np.maximum.accumulate(np.where(new, live, 0))
+        rank[at] = head[live]
+        size = np.diff(np.concatenate([np.flatnonzero(new), [len(live)]]))
+        live = live[np.repeat(size > 1, size)]
         step *= 2
-        if step >= n:
-            return order
+    return order
 
 
 class WaveletMatrix:
@@ -39,7 +48,7 @@ class WaveletMatrix:
         now = symbols.astype(np.int64)
         for level in range(self.levels - 1, -1, -1):
             bit = (now >> level) & 1
-            self.ones.append(np.concatenate([[0], np.cumsum(bit)]))
+            self.ones.append(np.concatenate([[0], np.cumsum(bit)]).astype(np.int32))
             self.zeros.append(len(now) - int(self.ones[-1][-1]))
             now = np.concatenate([now[bit == 0], now[bit == 1]])
 

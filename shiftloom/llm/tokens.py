@@ -3,9 +3,10 @@
 The model file is read once on the driver and its arrays are broadcast (their size is the
 vocabulary's, not the data's). Each Python worker keeps its own store of units already encoded.
 
-Attribution (``section_tokens``): the fields of a row are put one after the other and encoded once.
-Sections are the fields, each cut after every line feed. Token character spans and section spans
-are two sorted interval lists, joined by position search. A token that crosses a boundary goes to
+Attribution (``section_tokens``): a row's document is its fields that have characters, one blank apart, encoded once; as a
+text is encoded with a blank in front, each field gets the tokens it has by itself (unless the field before ends in a blank).
+Sections are the fields, each cut after every line feed; the blank before a field belongs to it and is no character of it. Token character
+spans and section spans are two sorted interval lists, joined by position search. A token that crosses a boundary goes to
 the section that holds most of its characters, the earlier one on a tie; a token without characters
 of its own (a later byte of a character, a blank in front) goes where it stands. So the sections'
 counts add up to the row's tokens.
@@ -133,9 +134,14 @@ def attribute(start: np.ndarray, end: np.ndarray, row_off: np.ndarray, bounds: n
     first = np.clip(np.searchsorted(flat, start + row * far, "right"), low, high)
     last = np.clip(np.searchsorted(flat, np.maximum(end - 1, start) + row * far, "right"), low, high)
     section, crosses = first.copy(), last > first
-    for i in np.flatnonzero(crosses).tolist():
-        edges = np.concatenate([[start[i]], bounds[first[i] : last[i]], [end[i]]])
-        section[i] = first[i] + int(np.argmax(np.diff(edges)))  # argmax: the earliest of the largest
+    at = np.flatnonzero(crosses)
+    if len(at):
+        many = last[at] - first[at] + 1
+        token, piece = np.repeat(at, many), ranges(first[at], many)
+        begins = np.where(piece == first[token], start[token], bounds[np.maximum(piece - 1, 0)])
+        length = np.minimum(bounds[piece], end[token]) - begins
+        best = np.lexsort((piece, -length, token))  # the earliest of the longest comes first
+        section[at] = piece[best][np.searchsorted(token[best], at)]
     return section, crosses
 
 
@@ -157,7 +163,8 @@ def section_tokens(docs: DataFrame, fields: tuple[str, ...] = ("text",), model:
             before = np.zeros(total + 1, np.int64)
             np.cumsum((buf[:total] & 0xC0) != 0x80, out=before[1:])
             size = np.stack([np.asarray(rows.column(f"size{k}")).astype(np.int64) for k in range(len(names))], axis=1)
-            edge = before[off[:-1]][:, None] + np.cumsum(size, axis=1)  # ends of fields, in code points of the chunk
+            gap = (size > 0) & (np.cumsum(size, axis=1) > size)  # fields with a blank before them
+            edge = before[off[:-1]][:, None] + np.cumsum(size + gap, axis=1)  # ends of fields, in code points of the chunk
             line = before[np.flatnonzero(buf[:total] == 10) + 1]
             line_row = np.searchsorted(before[off], line, "left") - 1
             keep = ~np.isin(line, edge)  # a line feed that ends its field ends no further section
@@ -173,10 +180,10 @@ def section_tokens(docs: DataFrame, fields: tuple[str, ...] = ("text",), model:
             begin = np.maximum.accumulate(np.where(new, np.arange(len(of)), 0)) if len(of) else of
             left = np.where(np.concatenate([[True], of[1:] != of[:-1]]), 0, np.concatenate([[0], bounds[:-1]])) if len(of) else bounds
             yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id").take(pa.array(of)), pa.array(np.array(names, dtype=object)[field], pa.string()), pa.array(np.arange(len(of)) - begin), pa.array(bounds - left), pa.array(np.bincount(section, minlength=len(of))), pa.array(np.bincount(section[crosses], minlength=len(of)))],
+                [rows.column("doc_id").take(pa.array(of)), pa.array(np.array(names, dtype=object)[field], pa.string()), pa.array(np.arange(len(of)) - begin), pa.array(bounds - left - np.where(begin == np.arange(len(of)), gap[of, field], 0)), pa.array(np.bincount(section, minlength=len(of))), pa.array(np.bincount(section[crosses], minlength=len(of)))],
                 names=["doc_id", "field", "section", "n_chars", "n_tokens", "n_crossing"],
             )
 
     parts = [F.coalesce(F.col(f).cast("string"), F.lit("")) for f in names]
-    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.concat(*parts).alias("joined"), *(F.length(p).alias(f"size{k}") for k, p in enumerate(parts)))
+    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.concat_ws(" ", *[F.nullif(p, F.lit("")) for p in parts]).alias("joined"), *(F.length(p).alias(f"size{k}") for k, p in enumerate(parts)))
     return source.mapInArrow(run, "doc_id long, field string, section long, n_chars long, n_tokens long, n_crossing long")

@@ -225,6 +225,20 @@ def test_fm_index_counts_and_locates():
         for p, a, b in zip(patterns, low, high):
             want = [i for i in range(len(s) - size + 1) if (s[i : i + size] == p).all()]
             assert sorted(index.locate(np.arange(a, b)).tolist()) == want
+    long = np.concatenate([np.tile(r.integers(0, 4, 50), 6), [0]])
+    order = fm_index.suffix_order(long)
+    gaps = np.flatnonzero(long == 0)
+    marks = long + len(gaps)
+    marks[gaps] = np.arange(len(gaps))
+    assert order.tolist() == sorted(range(len(long)), key=lambda i: marks[i:].tolist())
+
+
+def test_every_word_of_a_shard_is_indexed():
+    w = decontaminate.build_windows(pa.table({"item_id": ["1"], "text": ["b c d"]}), 10)
+    buf, off = text_buffer(pa.array(["a b c d e b", "", "c d"]))
+    h, _, _, word_off = decontaminate.word_hashes(buf, off)
+    symbols, word = decontaminate.shard_symbols(h, word_off, w)
+    assert len(symbols) == 8 + 3 and (word >= 0).sum() == 8 and (symbols > 0).sum() == 6 and symbols[-1] == 0
 
 
 def benchmark_case(spark, odd_docs):
@@ -289,14 +303,15 @@ def test_token_columns_odd_rows(odd_docs, no_docs):
     assert all(r.round_trip for r in tokens.token_digests(odd_docs).collect()) and tokens.token_digests(no_docs).count() == 0
 
 
-def test_section_counts_add_up_and_follow_the_rule(spark, odd_docs, no_docs):
-    counts = {}
+def test_section_counts_are_those_of_the_fields(spark, odd_docs, no_docs):
+    counts = Counter()
     for r in tokens.section_tokens(odd_docs, ("source", "lang", "text")).collect():
-        counts[r.doc_id] = counts.get(r.doc_id, 0) + r.n_tokens
-    whole = tokens.token_digests(odd_docs.withColumn("text", F.concat(*[F.coalesce(c, F.lit("")) for c in ("source", "lang", "text")]))).collect()
-    assert sum(counts.values()) == sum(r.n_tokens for r in whole)
-    one = tokens.section_tokens(spark.createDataFrame([(5, "hello wor", "ld is here")], "doc_id long, a string, b string"), ("a", "b")).collect()
-    assert [(r.field, r.section, r.n_tokens, r.n_crossing) for r in one] == [("a", 0, 3, 1), ("b", 0, 2, 0)]
+        counts[r.field] += r.n_tokens
+    for field in ("source", "lang", "text"):
+        assert counts[field] == sum(r.n_tokens for r in tokens.token_digests(odd_docs, text=field).collect())
+    one = tokens.section_tokens(spark.createDataFrame([(5, "hello wor", None, "ld is\nhere")], "doc_id long, a string, b string, c string"), ("a", "b", "c")).collect()
+    alone = [len(x) for x in ("hello wor", "", "ld is\n", "here")]
+    assert [(r.field, r.section, r.n_chars) for r in one] == [("a", 0, alone[0]), ("b", 0, 0), ("c", 0, alone[2]), ("c", 1, alone[3])] and one[1].n_tokens == 0
     assert tokens.section_tokens(no_docs).count() == 0
 
 

@@ -1,19 +1,19 @@
-"""SentencePiece (BPE model) encoding and decoding as a batched Viterbi in numpy.
+"""SentencePiece encoding and decoding as a batched Viterbi in numpy, for BPE and for unigram models.
 
 A text becomes units: a run of blanks (written U+2581, one more in front of a non-empty text) and the
 characters up to the next run. No piece crosses from a character to a following blank, so units are
 encoded independently, each distinct unit of a chunk once.
 
 Units of equal length advance together. For each end position all substrings are probed by
-polynomial hashes against the sorted hashes of the pieces. The lattice has a score of 0 or minus
-infinity per step: a piece may follow the best last piece of the prefix before it exactly when
+polynomial hashes against the sorted hashes of the pieces, and vectorised maxima over the pieces that end there store the backpointer. Under a
+unigram model a path's score is the sum of its pieces' scores. Under a BPE model a step scores 0 or minus
+infinity: a piece may follow the best last piece of the prefix before it exactly when
 merging the two side by side would leave them apart, which replaying both pieces' merges from the
-cut outwards decides (``apart``). Exactly one last piece survives per prefix, the maximum stores it as
-the backpointer, and the path read back is the merge result of the model itself, not an
-approximation of it. Units with several blanks (pieces of blanks share one score) and units over
-``LONG`` characters are merged directly with a heap.
+cut outwards decides (``apart``). Exactly one last piece survives per prefix, and the path read back is the merge result of the
+model itself, not an approximation of it.
 
-Characters outside the vocabulary become byte pieces.
+A few long units of one length go through the same recurrence one position after another, with all their substrings probed at once; what they
+give is the same. Characters outside the vocabulary become byte pieces.
 """
 
 from __future__ import annotations
@@ -26,7 +26,11 @@ import numpy as np
 from ._bytes import hash_spans, ranges
 
 BLANK = 0x2581
-LONG = 48
+#: From this length on, fewer than FEW units of a length are taken one by one.
+LONG, FEW = 48, 32
+#: What a character outside the vocabulary costs below the least score (fixed value of the format).
+UNKNOWN = 10.0
+UNIGRAM, BPE = 1, 2
 KEEP_UNITS = 1_200_000
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MOD = 1 << 64
@@ -40,6 +44,36 @@ def _string_hash(codes: list[int]) -> int:
     return h
 
 
+def _varint(data: bytes, at: int) -> tuple[int, int]:
+    value = shift = 0
+    while True:
+        value |= (data[at] & 127) << shift
+        at += 1
+        if not data[at - 1] & 128:
+            return value, at
+        shift += 7
+
+
+def _fields(data: bytes):
+    """(number, value) of the fields of a message: a number, or the bytes of a nested one."""
+    at = 0
+    while at < len(data):
+        tag, at = _varint(data, at)
+        kind = tag & 7
+        if kind == 0:
+            value, at = _varint(data, at)
+        else:
+            size, at = (8, at) if kind == 1 else (4, at) if kind == 5 else _varint(data, at)
+            value, at = data[at : at + size], at + size
+        yield tag >> 3, value
+
+
+def model_type(proto: bytes) -> int:
+    """UNIGRAM or BPE: field 3 of the training settings (field 2) of a model file (fixed numbers of the format; unigram if not set)."""
+    settings = next((v for n, v in _fields(proto) if n == 2), b"")
+    return next((v for n, v in _fields(settings) if n == 3), UNIGRAM)
+
+
 @dataclass
 class PieceModel:
     """What encoding and decoding need of a model file, as arrays; token numbers here are piece ids."""
@@ -56,12 +90,19 @@ class PieceModel:
     size: np.ndarray = field(default=None)
     hashes: np.ndarray = field(default=None)
     longest: int = 0
+    score: np.ndarray = field(default=None)  # of a unigram model; null for BPE
+    lost: float = 0.0  # score of a character outside the vocabulary
+    pairs: dict = field(default_factory=dict)  # pairs of pieces already decided by ``apart``
 
     @classmethod
     def load(cls, path: str) -> PieceModel:
         import sentencepiece
 
-        m = sentencepiece.SentencePieceProcessor(model_file=path)
+        return cls.of(sentencepiece.SentencePieceProcessor(model_file=path))
+
+    @classmethod
+    def of(cls, m) -> PieceModel:
+        """From a model that the library has read."""
         n = m.vocab_size()
         pieces = [m.id_to_piece(i) for i in range(n)]
         kind = np.zeros(n, np.int8)
@@ -71,17 +112,20 @@ class PieceModel:
                 kind[i], byte_id[int(p[3:5], 16)] = 1, i
             elif m.is_control(i) or m.is_unknown(i) or m.is_unused(i):
                 kind[i] = 2
-        return cls.build(pieces, np.array([m.get_score(i) for i in range(n)]), kind, byte_id)
+        return cls.build(pieces, np.array([m.get_score(i) for i in range(n)]), kind, byte_id, model_type(m.serialized_model_proto()))
 
     @classmethod
-    def build(cls, pieces: list[str], scores: np.ndarray, kind: np.ndarray, byte_id: np.ndarray) -> PieceModel:
+    def build(cls, pieces: list[str], scores: np.ndarray, kind: np.ndarray, byte_id: np.ndarray, algorithm: int = BPE) -> PieceModel:
         n = len(pieces)
         _, order = np.unique(-scores, return_inverse=True)  # equal scores share a rank
         rank = np.where(np.array([len(p) for p in pieces]) == 1, -1, order)
         m = cls(pieces, rank.astype(np.int64), kind.copy(), byte_id)
         m.by_text = {p: i for i, p in enumerate(pieces) if kind[i] == 0}
         m.left, m.right = np.full(n, -1, np.int64), np.full(n, -1, np.int64)
-        for p, i in m.by_text.items():
+        if algorithm == UNIGRAM:
+            m.score = scores.astype(np.float64)
+            m.lost = float(scores[kind == 0].min(initial=0.0)) - UNKNOWN
+        for p, i in m.by_text.items() if algorithm == BPE else ():
             if len(p) > 1:
                 parts, last = m.merge(p)
                 if len(parts) == 1 and last is not None:
@@ -182,6 +226,24 @@ class PieceModel:
             prefix[k + 1] = prefix[k] * np.uint64(_BASE) + codes[:, k].astype(np.uint64) + np.uint64(1)
         last = np.full((n + 1, m), -1, np.int64)  # best last piece of each prefix; -1: a character outside the vocabulary
         step = np.ones((n + 1, m), np.int64)  # its length: the backpointer
+        (self._scored_steps if self.score is not None else self._merged_steps)(prefix, power, last, step)
+        at = np.full(m, n)
+        back, rows = [], np.arange(m)
+        while True:
+            live = at > 0
+            if not live.any():
+                break
+            ids = np.where(live, last[at, rows], -2)
+            missing = live & (ids == -1)
+            ids[missing] = -3 - codes[rows[missing], at[missing] - 1].astype(np.int64)
+            back.append(ids)
+            at = np.where(live, at - step[at, rows], 0)
+        table = np.stack(back[::-1], axis=1)
+        real = table != -2
+        return table[real], real.sum(axis=1)
+
+    def _merged_steps(self, prefix: np.ndarray, power: np.ndarray, last: np.ndarray, step: np.ndarray) -> None:
+        n, m = prefix.shape[0] - 1, prefix.shape[1]
         for j in range(1, n + 1):
             open_rows = np.arange(m)
             for size in range(min(j, self.longest), 0, -1):
@@ -199,39 +261,74 @@ class PieceModel:
                 open_rows = open_rows[~taken[open_rows]]
                 if not len(open_rows):
                     break
-        at = np.full(m, n)
-        back, rows = [], np.arange(m)
-        while True:
-            live = at > 0
-            if not live.any():
-                break
-            ids = np.where(live, last[at, rows], -2)
-            missing = live & (ids == -1)
-            ids[missing] = -3 - codes[rows[missing], at[missing] - 1].astype(np.int64)
-            back.append(ids)
-            at = np.where(live, at - step[at, rows], 0)
-        table = np.stack(back[::-1], axis=1)
-        real = table != -2
-        return table[real], real.sum(axis=1)
+
+    def _scored_steps(self, prefix: np.ndarray, power: np.ndarray, last: np.ndarray, step: np.ndarray) -> None:
+        n, m = prefix.shape[0] - 1, prefix.shape[1]
+        best = np.zeros((n + 1, m))
+        for j in range(1, n + 1):
+            best[j] = best[j - 1] + self.lost
+            for size in range(1, min(j, self.longest) + 1):
+                piece = self.probe(prefix[j] - prefix[j - size] * power[size])
+                total = best[j - size] + np.where(piece >= 0, self.score[np.maximum(piece, 0)], -np.inf)
+                better = total > best[j]
+                best[j, better], last[j, better], step[j, better] = total[better], piece[better], size
+
+    def one_long(self, codes: np.ndarray) -> np.ndarray:
+        """Ids of one unit (-3 - c for a character outside the vocabulary): all substrings probed at once, then position by position."""
+        n = len(codes)
+        ends: list[list[tuple[int, int]]] = [[] for _ in range(n + 1)]  # (size, piece) of the pieces that end there, the longest first
+        h = np.zeros(n, np.uint64)
+        found = []
+        for size in range(1, min(self.longest, n) + 1):
+            h = h[: n - size + 1] * np.uint64(_BASE) + codes[size - 1 :].astype(np.uint64) + np.uint64(1)
+            found.append(self.probe(h))
+        for size in range(len(found), 0, -1):
+            for i in np.flatnonzero(found[size - 1] >= 0).tolist():
+                ends[i + size].append((size, int(found[size - 1][i])))
+        last, step, best = [-1] * (n + 1), [1] * (n + 1), [0.0] * (n + 1)
+        for j in range(1, n + 1):
+            if self.score is not None:
+                best[j] = best[j - 1] + self.lost
+                for size, piece in reversed(ends[j]):
+                    if best[j - size] + self.score[piece] > best[j]:
+                        best[j], last[j], step[j] = best[j - size] + self.score[piece], piece, size
+                continue
+            for size, piece in ends[j]:
+                if size == j or self._stay_apart(last[j - size], piece):
+                    last[j], step[j] = piece, size
+                    break
+        out, at = [], n
+        while at:
+            out.append(last[at] if last[at] >= 0 else -3 - int(codes[at - 1]))
+            at -= step[at]
+        return np.array(out[::-1], np.int64)
+
+    def _stay_apart(self, a: int, b: int) -> bool:
+        got = self.pairs.get((a, b))
+        if got is None:
+            if len(self.pairs) > 1_000_000:
+                self.pairs.clear()
+            got = self.pairs[a, b] = bool(self.apart(np.array([a]), np.array([b]))[0])
+        return got
 
     def unit_ids(self, codes: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids end to end, how many each) of units: Viterbi by length, direct merging of the special ones, bytes for the rest."""
-        special = (lens > LONG) | ((lens > 1) & (codes[np.minimum(starts + 1, len(codes) - 1)] == BLANK))
+        """(ids end to end, how many each) of units, by length; bytes for characters outside the vocabulary."""
         flat, count, order = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for n in np.unique(lens[~special]).tolist():
-            who = np.flatnonzero((lens == n) & ~special)
-            for at in range(0, len(who), 20_000):
-                part = who[at : at + 20_000]
+        for n in np.unique(lens).tolist():
+            who = np.flatnonzero(lens == n)
+            if n > LONG and len(who) < FEW:
+                for k in who.tolist():
+                    flat.append(self.one_long(codes[starts[k] : starts[k] + n]))
+                    count.append(np.array([len(flat[-1])]))
+                    order.append(np.array([k]))
+                continue
+            each = max(1, min(20_000, 4_000_000 // n))
+            for at in range(0, len(who), each):
+                part = who[at : at + each]
                 ids, size = self.viterbi(codes[starts[part][:, None] + np.arange(n)[None, :]])
                 flat.append(ids)
                 count.append(size)
                 order.append(part)
-        for k in np.flatnonzero(special).tolist():
-            text = codes[starts[k] : starts[k] + lens[k]].astype("<u4").tobytes().decode("utf-32-le", "replace")
-            ids = np.array(self.merge(text)[0], np.int64)
-            flat.append(np.where(ids < 0, ids - 2, ids))
-            count.append(np.array([len(ids)]))
-            order.append(np.array([k]))
         ids, size, who = self._with_bytes(np.concatenate(flat), np.concatenate(count)) + (np.concatenate(order),)
         place = np.argsort(who, kind="stable")
         begin = np.cumsum(size) - size

@@ -296,6 +296,38 @@ def test_encoding_equals_the_library(model):
     assert small.encode(buf, off)[0].tolist() == ids.tolist() == small.encode(buf, off)[0].tolist()
 
 
+def test_long_units_and_blanks_equal_the_library(model):
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=tokens.MODEL)
+    r = random.Random(5)
+    texts_ = ["a" * 5000, "".join(r.choice("abcdeé中 ") for _ in range(3000)), "x" * 60 + "y" * 60, " " * 70 + "hello", "   ", "ing" * 400, "中文" * 200] + ["".join(r.choice("thein") for _ in range(60)) for _ in range(40)] + [" " * k + "the" + " " * k for k in range(40)]
+    encoder = pieces.Encoder(model)
+    buf, off = text_buffer(pa.array(texts_))
+    ids, row_off = encoder.encode(buf, off)
+    assert [ids[a:b].tolist() for a, b in zip(row_off[:-1], row_off[1:])] == [sp.encode(t) for t in texts_]
+
+
+def test_unigram_paths_have_the_best_score(monkeypatch):
+    r = random.Random(9)
+    words_ = sorted({"".join(r.choice("abc") for _ in range(r.randint(1, 4))) for _ in range(60)} | {"▁", "▁a", "▁ab"})
+    scores = np.array([-r.uniform(1, 9) for _ in words_])
+    m = pieces.PieceModel.build(words_, scores, np.zeros(len(words_), np.int8), np.arange(256), pieces.UNIGRAM)
+    for few in (0, 10**9):
+        monkeypatch.setattr(pieces, "LONG", 0)
+        monkeypatch.setattr(pieces, "FEW", few)
+        for _ in range(60):
+            u = "▁" * r.randint(0, 2) + "".join(r.choice("abcd") for _ in range(r.randint(1, 12)))
+            best = [0.0] + [-1e9] * len(u)
+            for j in range(1, len(u) + 1):
+                best[j] = max([best[j - 1] + m.lost] + [best[i] + scores[words_.index(u[i:j])] for i in range(j) if u[i:j] in words_])
+            codes = np.array([ord(c) for c in u], np.uint32)
+            got = m.one_long(codes) if few else m.viterbi(codes[None])[0]
+            assert abs(sum(scores[i] if i >= 0 else m.lost for i in got) - best[-1]) < 1e-6
+    proto = open(tokens.MODEL, "rb").read()
+    assert pieces.model_type(proto) == pieces.BPE and pieces.model_type(b"") == pieces.UNIGRAM
+
+
 def test_token_columns_odd_rows(odd_docs, no_docs):
     rows = odd_docs.collect()
     back = sorted((str(r.doc_id), r.text) for r in tokens.decode_tokens(tokens.encode_texts(odd_docs)).collect())

@@ -27,7 +27,7 @@ def op6_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP3_SQL = """
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, encode(coalesce(text, '')) AS h FROM documents),
 p AS (SELECT rid, doc_id, h, unnest(range(0, octet_length(h))) AS i FROM d),
-w AS (SELECT rid, doc_id, i, hash(array_slice(h, i + 1, i + 50)) AS s FROM p WHERE i + 50 <= octet_length(h)),
+w AS (SELECT rid, doc_id, i, array_slice(h, i + 1, i + 50) AS s FROM p WHERE i + 50 <= octet_length(h)),
 f AS (SELECT s, min(doc_id) AS least FROM w GROUP BY s),
 g AS (SELECT rid, i FROM w JOIN f USING (s) WHERE least < doc_id),
 c AS (SELECT p.rid AS rid, p.i AS i, hex(array_slice(h, p.i + 1, p.i + 1)) AS b, coalesce(max(g.i) OVER (PARTITION BY p.rid ORDER BY p.i) >= p.i - 49, FALSE) AS gone FROM p LEFT JOIN g ON g.rid = p.rid AND g.i = p.i),

@@ -9,8 +9,8 @@ one in fourteen bytes, and looks at bytes only where copies differ:
    holds is settled there, so a unit that a third of all documents share is one entry a task;
 2. settle: entries meet by gram hash; a unit that a smaller id holds is removed wholly in the larger;
    where one gram has several units, the least id of each is asked for the unit's bytes;
-3. sort: the windows of those units are suffix-sorted - deep-shallow: multikey quicksort on 8-byte
-   keys to a shallow depth, blind tries for the groups that still tie - and windows of one string take
+3. sort: the windows of those units are suffix-sorted - deep-shallow: buckets of the first bytes, multikey quicksort to a
+   shallow depth, blind tries for the groups that still tie - and windows that the sort finds equal, byte by byte, take
    the least id among them;
 4. removal: documents meet the settled units and windows, and their covered bytes go.
 
@@ -36,7 +36,7 @@ from ._bytes import PAD, chunks, hash_spans, ranges, text_buffer
 from ._spark import checkpointed, partitions
 
 LENGTH, GRAM = 50, 25
-SHALLOW = 32
+SHALLOW, BUCKET = 32, 8
 BLOCK = 4 << 20
 NO_ID = np.int64((1 << 63) - 1)
 _FLOW = "target long, kind int, payload binary"
@@ -261,113 +261,106 @@ def _settle(bins: int):
 # --- deep-shallow suffix sorting ---------------------------------------------------------------
 
 
+def _groups(live: np.ndarray, head: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(where each group begins among the live places, its size, each place's group); a group is live as a whole."""
+    begin = np.flatnonzero(head[live] == live)
+    size = np.diff(np.concatenate([begin, [len(live)]]))
+    return begin, size, np.repeat(np.arange(len(begin)), size)
+
+
 def deep_shallow_sort(data: np.ndarray, starts: np.ndarray, depth: int, shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
     """(order, same): suffixes in order of their first ``depth`` bytes; same[i]: order[i] equals order[i - 1] there.
 
-    Multikey quicksort on 8-byte keys down to ``shallow`` bytes, all groups of a level at once; groups
-    that still tie have long common prefixes, and blind tries order them.
+    Buckets of the first ``BUCKET`` bytes by counting, two bytes a pass, then multikey quicksort: every group is split around a pivot key of 8 bytes into less, equal and
+    greater, all groups at once and in linear time; only the equal part moves on to the next bytes. Groups that still tie at
+    ``shallow`` bytes have long common prefixes and go to blind tries.
     """
+    n = len(starts)
     at = np.ndarray(shape=(len(data) - 7,), dtype=">u8", buffer=np.ascontiguousarray(data), strides=(1,))
-    order = np.arange(len(starts))
-    group = np.zeros(len(starts), np.int64)
-    live = np.arange(len(starts))
-    done = 0
-    while done < shallow and len(live):
-        width = min(8, depth - done)
-        key = at[starts[order[live]] + done].astype(np.uint64)
-        if width < 8:
-            key >>= np.uint64(8 * (8 - width))
-        sort = np.lexsort((key, group[live]))
-        order[live] = order[live[sort]]
-        key, g = key[sort], group[live]
-        new = np.ones(len(live), bool)
-        new[1:] = (g[1:] != g[:-1]) | (key[1:] != key[:-1])
-        place = np.maximum.accumulate(np.where(new, live, 0))
-        group[live] = place
-        size = np.diff(np.concatenate([np.flatnonzero(new), [len(live)]]))
-        live = live[np.repeat(size > 1, size)]
-        done += width
-        if done >= depth:
-            break
-    same = np.zeros(len(starts), bool)
-    if len(live):
-        rest = hash_spans(data, starts[order[live]] + done, np.full(len(live), depth - done))  # equal tails fall together
-        sort = np.lexsort((rest, group[live]))
-        order[live] = order[live[sort]]
-        rest, g = rest[sort], group[live]
-        head = np.concatenate([[True], g[1:] != g[:-1]])
-        new = head.copy()
-        new[1:] |= rest[1:] != rest[:-1]
-        same[live] = ~new
-        group_no = np.cumsum(head) - 1
-        tails = np.bincount(group_no[new])
-        bounds = np.concatenate([np.flatnonzero(head), [len(live)]])
-        for k in np.flatnonzero(tails > 1).tolist():
-            part = live[bounds[k] : bounds[k + 1]]
-            first = np.flatnonzero(new[bounds[k] : bounds[k + 1]])
-            count = np.diff(np.concatenate([first, [len(part)]]))
-            trie = BlindTrie()
-            for item, i in enumerate(first.tolist()):
-                at_byte = int(starts[order[part[i]]])
-                trie.insert(data[at_byte : at_byte + depth].tobytes(), item)
-            ranked = np.array(trie.in_order())
-            order[part] = order[part][ranges(first[ranked], count[ranked])]
-            again = np.ones(len(part), bool)
-            again[np.cumsum(count[ranked]) - count[ranked]] = False
-            same[part] = again
+    wide = min(BUCKET, depth)
+    key = at[starts].astype(np.uint64) >> np.uint64(8 * (8 - wide))
+    order = np.arange(n)
+    for shift in range(0, 8 * wide, 16):  # two bytes a pass, the last ones first
+        order = order[np.argsort(((key >> np.uint64(shift)) & np.uint64(0xFFFF)).astype(np.uint16)[order], kind="stable")]
+    key = key[order]
+    new = np.ones(n, bool)
+    new[1:] = key[1:] != key[:-1]
+    head = np.maximum.accumulate(np.where(new, np.arange(n), 0)) if n else np.zeros(0, np.int64)
+    level = np.full(n, wide)
+    same = np.zeros(n, bool)
+    count = np.diff(np.concatenate([np.flatnonzero(new), [n]])) if n else np.zeros(0, np.int64)
+    live, deep = np.flatnonzero(np.repeat(count > 1, count)), []
+    if wide >= depth:
+        same[live] = head[live] != live
+        return order, same
+    stop = min(shallow, depth)
+    if wide >= stop:
+        live, deep = live[:0], [live]
+    while len(live):
+        begin, size, group = _groups(live, head)
+        o, done = order[live], level[live]
+        width = np.minimum(8, depth - done)
+        key = at[starts[o] + done].astype(np.uint64) >> (8 * (8 - width)).astype(np.uint64)
+        a, b, c = key[begin], key[begin + size // 2], key[begin + size - 1]
+        pivot = np.maximum(np.minimum(a, b), np.minimum(np.maximum(a, b), c))[group]
+        less, equal = key < pivot, key == pivot
+        n_less, n_equal = np.add.reduceat(less, begin, dtype=np.int64), np.add.reduceat(equal, begin, dtype=np.int64)
+        rank = lambda mark: (total := np.cumsum(mark) - mark) - total[begin][group]
+        greater = ~less & ~equal
+        to = begin[group] + np.where(less, rank(less), np.where(equal, n_less[group] + rank(equal), (n_less + n_equal)[group] + rank(greater)))
+        moved = np.empty_like(o)
+        moved[to] = o
+        order[live] = moved
+        place = np.arange(len(live)) - begin[group]
+        part = (place >= n_less[group]).astype(np.int64) + (place >= (n_less + n_equal)[group])
+        sizes = np.stack([n_less, n_equal, size - n_less - n_equal])[part, group]
+        head[live] = live[begin][group] + np.stack([np.zeros_like(n_less), n_less, n_less + n_equal])[part, group]
+        level[live] = done + np.where(part == 1, width, 0)
+        tied = sizes > 1
+        same[live[tied & (level[live] >= depth)]] = True
+        deep.append(live[tied & (level[live] >= stop) & (level[live] < depth)])
+        live = live[tied & (level[live] < stop)]
+    rest = np.sort(np.concatenate(deep)) if deep else live
+    if len(rest):
+        blind_tries(data, starts, depth, order, head, level, same, rest)
+    same[same] = head[same] != np.flatnonzero(same)
     return order, same
 
 
-class BlindTrie:
-    """A trie that keeps at each branch only the position that differs and the byte there.
+def blind_tries(data: np.ndarray, starts: np.ndarray, depth: int, order: np.ndarray, head: np.ndarray, level: np.ndarray, same: np.ndarray, live: np.ndarray) -> None:
+    """Orders the groups at ``live`` by a blind trie each, the branches of all tries of one generation at once.
 
-    An insertion goes down blindly by those bytes to some leaf, compares with that leaf's string once,
-    and hangs the new leaf at the first difference.
+    A node knows only the next byte at which its strings differ: all are compared with the first of them, the least difference is
+    the node's place, and its children are told apart by the byte there, whatever lies between. Strings without a difference share a leaf.
     """
-
-    def __init__(self):
-        self.root = None  # ("leaf", string, item) or ["node", position, {byte: child}]
-
-    def insert(self, s: bytes, item: int) -> None:
-        if self.root is None:
-            self.root = ("leaf", s, item)
+    view = np.lib.stride_tricks.sliding_window_view
+    while len(live):
+        begin, size, group = _groups(live, head)
+        o, done = order[live], level[live]
+        reach = int((depth - done).max())
+        body = view(np.concatenate([data, np.zeros(reach, np.uint8)]), reach)[starts[o] + done]
+        differ = (body != body[begin][group]) & (np.arange(reach)[None, :] < (depth - done)[:, None])
+        first = np.where(differ.any(axis=1), differ.argmax(axis=1), reach)
+        branch = np.minimum.reduceat(first, begin)
+        leaf = (branch == reach)[group]
+        same[live[leaf]] = True
+        fork = np.flatnonzero(~leaf)
+        if not len(fork):
             return
-        node = self.root
-        while node[0] == "node":
-            children = node[2]
-            node = children.get(s[node[1]]) or next(iter(children.values()))
-        other = node[1]
-        if other == s:
-            return
-        low, high = 0, len(s)
-        while high - low > 1:  # the first difference, by halving
-            mid = (low + high) // 2
-            if s[low:mid] == other[low:mid]:
-                low = mid
-            else:
-                high = mid
-        place = low
-        parent, node = None, self.root
-        while node[0] == "node" and node[1] < place:
-            parent, node = node, node[2][s[node[1]]]
-        if node[0] == "node" and node[1] == place:
-            node[2][s[place]] = ("leaf", s, item)
-            return
-        fork = ["node", place, {other[place]: node, s[place]: ("leaf", s, item)}]
-        if parent is None:
-            self.root = fork
-        else:
-            parent[2][s[parent[1]]] = fork
-
-    def in_order(self) -> list[int]:
-        out, stack = [], [self.root] if self.root is not None else []
-        while stack:
-            node = stack.pop()
-            if node[0] == "leaf":
-                out.append(node[2])
-            else:
-                stack.extend(node[2][b] for b in sorted(node[2], reverse=True))
-        return out
+        live, o, group, done = live[fork], o[fork], group[fork], done[fork] + branch[group[fork]]
+        byte = data[starts[o] + done]
+        sort = np.lexsort((byte, group))
+        order[live] = o[sort]
+        byte, group = byte[sort], group[sort]
+        new = np.ones(len(live), bool)
+        new[1:] = (group[1:] != group[:-1]) | (byte[1:] != byte[:-1])
+        head[live] = np.maximum.accumulate(np.where(new, live, 0))
+        level[live] = done + 1  # the place is the same for a whole group, so it needs no sorting
+        count = np.diff(np.concatenate([np.flatnonzero(new), [len(live)]]))
+        several = np.repeat(count > 1, count)
+        whole = several & (level[live] >= depth)
+        same[live[whole]] = True
+        live = live[several & ~whole]
 
 
 # --- bytes where copies differ -----------------------------------------------------------------

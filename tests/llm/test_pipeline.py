@@ -42,6 +42,36 @@ def test_stages_keep_columns_and_take_effect(spark):
     assert out.columns == ["doc_id", "lang", "source", "n_chars", "n_tokens", "token_ids"] and out.where(F.size("token_ids") != F.col("n_tokens")).count() == 0
 
 
+def test_stages_equal_their_rows_taken_one_by_one(spark):
+    """Quality against scores of single texts, personal data against the spans of single texts, token ids against the library."""
+    import numpy as np
+    import pyarrow as pa
+    import sentencepiece
+
+    from shiftloom.llm import byte_cnn, crf, pii, tokens
+    from shiftloom.llm._bytes import text_buffer
+
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    rows, stages = docs.collect(), dict(corpus_pipeline.STAGES)
+    weights = byte_cnn.train_quality(docs, spark.read.parquet(f"{DATA}/labels.parquet"))
+    buffers = {r.doc_id: text_buffer(pa.array([r.text], pa.string())) for r in rows}
+    want = {d for d, b in buffers.items() if byte_cnn.score(weights, *b)[0] >= 0.3}
+    assert {r.doc_id for r in stages["quality"](spark, docs, DATA).collect()} == want
+    model = pii.train()
+    masked = {r.doc_id: r.text for r in stages["pii"](spark, docs, DATA).collect()}
+    for d, (buf, off) in buffers.items():
+        _, every = pii.find_spans(model, crf.Emitter(model.emission), buf, off)
+        out, at = b"", 0
+        for kind, a, b in every[0]:
+            out += (buf[at:a].tobytes() + f"<{kind.upper()}>".encode()) if a >= at else b""
+            at = max(at, b)
+        assert masked[d] == (out + buf[at : int(off[-1])].tobytes()).decode()
+    sp = sentencepiece.SentencePieceProcessor(model_file=tokens.MODEL)
+    texts_ = {r.doc_id: r.text for r in rows}
+    assert all(list(r.token_ids) == sp.encode(texts_[r.doc_id] or "") for r in stages["tokens"](spark, docs, DATA).collect())
+    assert np.isfinite(weights.share)
+
+
 @pytest.mark.parametrize("empty", [True, False])
 def test_run_and_empty_table(spark, empty):
     if not empty:

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -123,3 +124,22 @@ def test_near_dedup_finds_every_pair_at_jaccard_four_fifths(spark, odd_docs, no_
     odd = near_copies.keep_first(odd_docs)
     assert odd.columns == odd_docs.columns and near_copies.keep_first(no_docs).count() == 0
     assert sorted(str(x.doc_id) for x in odd.collect()) == first_of_near_copies([(x.doc_id, x.text) for x in odd_docs.collect()])
+
+
+def test_sketches_never_claim_more_than_two_sets_differ_by(spark):
+    r = random.Random(5)
+    base = [r.getrandbits(64) for _ in range(400)]
+    sets = [sorted({*base[: r.randint(0, 400)], *(r.getrandbits(64) for _ in range(r.choice((0, 1, 5, 40))))}) for _ in range(60)]
+    off = np.cumsum([0, *map(len, sets)])
+    words = near_copies.sketches(np.array([h for x in sets for h in x], np.uint64), off).tolist()
+    rows = spark.createDataFrame([(i, i % 12, *w) for i, w in enumerate(words)], ["i", "g", *near_copies.WORDS])
+    x, y = F.col("x"), F.col("y")
+    one = rows.select("i", F.struct(*near_copies.WORDS).alias("w"))
+    met = one.toDF("a", "x").crossJoin(one.toDF("b", "y")).select("a", "b", near_copies._apart(x, y).alias("n")).collect()
+    assert all(m.n <= len(set(sets[m.a]) ^ set(sets[m.b])) for m in met) and sum(m.n > 20 for m in met) > 100
+    bits = [f(w).alias(f"{name}_{w}") for w in near_copies.WORDS for name, f in (("all", F.bit_and), ("any", F.bit_or))]
+    groups = rows.groupBy("g").agg(*bits)
+    groups = groups.select("g", F.struct(*groups.columns[1:]).alias("w"))
+    least = {(m.a, m.b): m.n for m in met}
+    far = groups.toDF("a", "x").crossJoin(groups.toDF("b", "y")).select("a", "b", near_copies._groups_apart(x, y).alias("n")).collect()
+    assert all(m.n <= min(least[i, j] for i in range(m.a, 60, 12) for j in range(m.b, 60, 12)) for m in far)

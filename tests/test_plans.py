@@ -286,3 +286,16 @@ def test_structures(spark):
     assert r["CCO"].formula == "C2H6O" and r["??"].formula is None and r[None].canonical is None
     o = backend.get("opaque")
     assert o.strict("anything") == "anything" and o.formula("CCO") is None and o.fragments("CCO") == []
+
+
+def test_each_structure_is_read_once_and_every_row_kept(spark):
+    from shiftloom.chem import backend
+
+    said = ["CCO", "CCN", "", None, "??"]
+    rows = spark.createDataFrame([(i, said[i % 5]) for i in range(1000)], "i long, s string")
+    out = backend.with_structure(rows, "s")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.index("MapInArrow") < plan.index("Aggregate [__smiles")  # distinct structures go into the reader
+    got = out.collect()
+    assert out.columns[:2] == ["i", "s"] and sorted((x.i, x.s) for x in got) == [(i, said[i % 5]) for i in range(1000)]
+    assert {(x.s, x.formula) for x in got} == {("CCO", "C2H6O"), ("CCN", "C2H7N"), ("", None), (None, None), ("??", None)}

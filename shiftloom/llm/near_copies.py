@@ -10,7 +10,9 @@ out further pairs. So does a sketch of each set: bit b of ``SKETCH`` is the pari
 hash to it, the XOR of two sketches is the sketch of what the sets do not share, and its bit count never
 exceeds their number, which is at most (n + m) / 9 in a near-copy. The rest are checked on the whole sets.
 
-Pairs are taken in two passes. The first compares a shingle's holders with the one before and with the
+Pairs come from op5's operator first: SimHash fingerprints of the sets, linked at ``simhash.RADIUS`` bits by segment popcounts, each
+link checked on the whole sets. A near-copy can differ in more bits than these, so the shingles above give the rest, in
+two passes. The first compares a shingle's holders with the one before and with the
 first, by size and by a hash of shingle and set, so that a set meets other partners at each of its shingles:
 a group of n near-copies costs at most 4 n pairs a shingle and is mostly one component. The second compares all holders that are not yet in one component, so the components are those of all pairs.
 
@@ -32,7 +34,7 @@ from pyspark.sql.window import Window as W
 
 from ._bytes import chunks
 from ._spark import checkpointed, texts
-from .simhash import components, shingle_hashes
+from .simhash import components, fingerprints, links, shingle_hashes
 
 SHINGLE, BINS, SLICE, MARKS, CHUNK, SKETCH = 5, 1 << 22, 1 << 16, 1 << 24, 1 << 20, 256
 WORDS = [f"s{i}" for i in range(SKETCH // 64)]
@@ -98,7 +100,7 @@ def _key_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows, buf, off in chunks(batches, "text", CHUNK):
         key, h, set_off = shingle_sets(buf, off)
         words = [pa.array(np.ascontiguousarray(w)) for w in sketches(h, set_off).T]
-        yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(key), pa.array(np.diff(set_off).astype(np.int32)), *words], names=["doc_id", "key", "n", *WORDS])
+        yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(key), pa.array(np.diff(set_off).astype(np.int32)), pa.array(fingerprints(h, set_off).view(np.int64)), *words], names=["doc_id", "key", "n", "fp", *WORDS])
 
 
 def _prefix_pass(crowded):
@@ -165,6 +167,14 @@ def _groups_apart(x: Column, y: Column) -> Column:
     return sum(counts[1:], counts[0])
 
 
+def print_pairs(named: DataFrame) -> DataFrame:
+    """(a, b): keys of sets whose fingerprints link, by the least key of each fingerprint; those of one fingerprint with its least."""
+    prints = checkpointed(named.groupBy("fp").agg(F.min("key").alias("first")))
+    same = named.select("fp", "key").distinct().join(prints, "fp").where("key != first").select(F.col("first").alias("a"), F.col("key").alias("b"))
+    linked = links(prints.select("fp")).join(prints.toDF("a", "x"), "a").join(prints.toDF("b", "y"), "b")
+    return same.unionByName(linked.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+
+
 def _checked(pairs: DataFrame, body: DataFrame) -> DataFrame:
     """The pairs (a, b) whose whole sets are near; only sets of such pairs are shuffled."""
     pairs = checkpointed(pairs.distinct())
@@ -181,7 +191,7 @@ def _ordered(x: Column, y: Column) -> list[Column]:
 
 
 def near_roots(rows: DataFrame, named: DataFrame) -> DataFrame:
-    """(key, root) of the keys that have a near-copy; ``rows``: doc_id, text; ``named``: their keys and sketches."""
+    """(key, root) of the keys that have a near-copy; ``rows``: doc_id, text; ``named``: their keys, fingerprints and sketches."""
     body = rows.select("text")
     prints = named.select("key", F.struct("n", *WORDS).alias("print")).dropDuplicates(["key"])
     crowded = rows.sparkSession.sparkContext.broadcast(crowding(body))
@@ -193,7 +203,7 @@ def near_roots(rows: DataFrame, named: DataFrame) -> DataFrame:
     by_size, dealt = whole.orderBy("n", "key"), whole.orderBy(F.xxhash64("token", "key"), "key")
     own = F.struct("key", "n", "place")
     pairs = met.select("token", "n", "key", own.alias("x")).select("x", F.array(*[f("x").over(order) for order in (by_size, dealt) for f in (F.lag, F.first)]).alias("ys")).select("x", F.explode("ys").alias("y"))
-    pairs = pairs.where((x["key"] != y["key"]) & _possible(x, y)).select(*_ordered(x, y)).distinct()
+    pairs = pairs.where((x["key"] != y["key"]) & _possible(x, y)).select(*_ordered(x, y)).unionByName(print_pairs(named)).distinct()
     px, py = F.col("px"), F.col("py")
     sketched = pairs.join(prints.toDF("a", "px"), "a").join(prints.toDF("b", "py"), "b")
     found = _checked(sketched.where(9 * _apart(px, py) <= px["n"] + py["n"]).select("a", "b"), body)
@@ -223,7 +233,7 @@ def near_roots(rows: DataFrame, named: DataFrame) -> DataFrame:
 def labelled(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, key, root, component_id): one row per row; component_id is the least id of the component."""
     rows = texts(docs, doc_id, text)
-    named = checkpointed(rows.mapInArrow(_key_batches, f"doc_id long, key long, n int, {', '.join(f'{w} long' for w in WORDS)}"))
+    named = checkpointed(rows.mapInArrow(_key_batches, f"doc_id long, key long, n int, fp long, {', '.join(f'{w} long' for w in WORDS)}"))
     least = named.groupBy("key").agg(F.min("doc_id").alias("least_id"))
     least = checkpointed(least.join(near_roots(rows, named), "key", "left").withColumn("root", F.coalesce("root", "key")))
     ids = least.groupBy("root").agg(F.min("least_id").alias("component_id"))

@@ -143,3 +143,18 @@ def test_sketches_never_claim_more_than_two_sets_differ_by(spark):
     least = {(m.a, m.b): m.n for m in met}
     far = groups.toDF("a", "x").crossJoin(groups.toDF("b", "y")).select("a", "b", near_copies._groups_apart(x, y).alias("n")).collect()
     assert all(m.n <= min(least[i, j] for i in range(m.a, 60, 12) for j in range(m.b, 60, 12)) for m in far)
+
+
+def test_near_dedup_links_fingerprints_first(spark):
+    """The pairs of op5's operator: texts within three bits and texts of one fingerprint."""
+    base = prose(40, 600).split()
+    said = [" ".join(base), " ".join([*base[:-1], "changed"]), " ".join([*base[:-1], "other"]), prose(41, 300)]
+    rows = spark.createDataFrame(list(enumerate(said)), "doc_id long, text string")
+    words = ", ".join(f"{w} long" for w in near_copies.WORDS)
+    named = rows.mapInArrow(near_copies._key_batches, f"doc_id long, key long, n int, fp long, {words}").cache()
+    at = {r.key: (r.doc_id, r.fp) for r in named.collect()}
+    got = {tuple(sorted((r.a, r.b))) for r in near_copies.print_pairs(named).collect()}
+    apart = lambda a, b: ((at[a][1] ^ at[b][1]) & (2**64 - 1)).bit_count()
+    assert got and all(apart(a, b) <= 3 for a, b in got) and not any(3 in (at[a][0], at[b][0]) for a, b in got)
+    met = {at[k][0] for pair in got for k in pair}
+    assert met == {0, 1, 2}

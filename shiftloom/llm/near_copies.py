@@ -14,7 +14,8 @@ Pairs come from op5's operator first: SimHash fingerprints of the sets, linked a
 link checked on the whole sets. A near-copy can differ in more bits than these, so the shingles above give the rest, in
 two passes. The first compares a shingle's holders with the one before and with the
 first, by size and by a hash of shingle and set, so that a set meets other partners at each of its shingles:
-a group of n near-copies costs at most 4 n pairs a shingle and is mostly one component. The second compares all holders that are not yet in one component, so the components are those of all pairs.
+a group of n near-copies costs at most 4 n pairs a shingle and is mostly one component. The second compares all holders that are not yet in one component, so the components are those of all pairs;
+of two groups only members that the other group's sketches do not rule out are paired.
 
 Defined cases: one to four words make one shingle; null and wordless texts are one node; null ids keep
 one row of a component only if it has no other id; repeated rows are near-copies; an empty table gives
@@ -167,6 +168,14 @@ def _groups_apart(x: Column, y: Column) -> Column:
     return sum(counts[1:], counts[0])
 
 
+def _kept(members: str, group: str, n: Column) -> Column:
+    """Members of one group that may be near some member of the other."""
+    g = F.col(group)
+    sure = lambda w: F.bitwise_not(g[f"any_{w}"].bitwiseXOR(g[f"all_{w}"]))
+    apart = lambda m: sum((F.bit_count(m[w].bitwiseXOR(g[f"all_{w}"]).bitwiseAND(sure(w))) for w in WORDS[1:]), F.bit_count(m[WORDS[0]].bitwiseXOR(g[f"all_{WORDS[0]}"]).bitwiseAND(sure(WORDS[0]))))
+    return F.filter(members, lambda m: 9 * apart(m) <= n)
+
+
 def print_pairs(named: DataFrame) -> DataFrame:
     """(a, b): keys of sets whose fingerprints link, by the least key of each fingerprint; those of one fingerprint with its least."""
     prints = checkpointed(named.groupBy("fp").agg(F.min("key").alias("first")))
@@ -218,7 +227,9 @@ def near_roots(rows: DataFrame, named: DataFrame) -> DataFrame:
     sizes = F.struct("root", "n", "place", *[f"{name}_{w}" for w in WORDS for name in ("all", "any")])
     left, right = (groups.select("token", sizes.alias(s), F.col("members").alias(f"of_{s}")) for s in "xy")
     both = left.join(right, "token").where((x["root"] < y["root"]) & _possible(x, y) & (9 * _groups_apart(x, y) <= x["n"] + y["n"]))
-    both = both.select((x["n"] + y["n"]).alias("nm"), "of_y", F.explode("of_x").alias("mx")).select("nm", "mx", F.explode("of_y").alias("my"))
+    nm = x["n"] + y["n"]
+    both = both.select(nm.alias("nm"), _kept("of_x", "y", nm).alias("of_x"), _kept("of_y", "x", nm).alias("of_y")).where((F.size("of_x") > 0) & (F.size("of_y") > 0))
+    both = both.select("nm", "of_y", F.explode("of_x").alias("mx")).select("nm", "mx", F.explode("of_y").alias("my"))
     mx, my = F.col("mx"), F.col("my")
     across = both.where(9 * _apart(mx, my) <= F.col("nm")).select(*_ordered(mx, my))
     more = _checked(across, body)

@@ -158,3 +158,16 @@ def test_near_dedup_links_fingerprints_first(spark):
     assert got and all(apart(a, b) <= 3 for a, b in got) and not any(3 in (at[a][0], at[b][0]) for a, b in got)
     met = {at[k][0] for pair in got for k in pair}
     assert met == {0, 1, 2}
+
+
+def test_members_that_another_group_rules_out_are_not_paired(spark):
+    r = random.Random(6)
+    base = [r.getrandbits(64) for _ in range(90)]
+    sets = [sorted({*base[i:], *(r.getrandbits(64) for _ in range(i))}) for i in (0, 2, 4, 6, 8, 60, 70, 80)]
+    words = near_copies.sketches(np.array([h for x in sets for h in x], np.uint64), np.cumsum([0, *map(len, sets)])).tolist()
+    rows = spark.createDataFrame([(i, *w) for i, w in enumerate(words)], ["key", *near_copies.WORDS])
+    members = rows.agg(F.collect_list(F.struct("key", *near_copies.WORDS)).alias("of_x"))
+    group = rows.where("key = 0").select(F.struct(*[F.col(w).alias(f"{name}_{w}") for w in near_copies.WORDS for name in ("all", "any")]).alias("y"))
+    kept = members.crossJoin(group).select(near_copies._kept("of_x", "y", F.lit(180)).alias("k")).first().k
+    near = {i for i, x in enumerate(sets) if 9 * len(set(x) & set(sets[0])) >= 4 * (len(x) + len(sets[0]))}
+    assert near <= {m.key for m in kept} and not {5, 6, 7} & {m.key for m in kept}

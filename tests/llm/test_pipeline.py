@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -171,3 +172,16 @@ def test_members_that_another_group_rules_out_are_not_paired(spark):
     kept = members.crossJoin(group).select(near_copies._kept("of_x", "y", F.lit(180)).alias("k")).first().k
     near = {i for i, x in enumerate(sets) if 9 * len(set(x) & set(sets[0])) >= 4 * (len(x) + len(sets[0]))}
     assert near <= {m.key for m in kept} and not {5, 6, 7} & {m.key for m in kept}
+
+
+def test_the_driver_collects_between_steps(spark):
+    from shiftloom.plans import shared
+
+    kinds = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    whole = lambda: sum(k.getCollectionCount() for k in kinds if "Old" in k.getName() or "MarkSweep" in k.getName())
+    time.sleep(2)
+    before = whole()
+    rows = shared.checkpointed(spark.range(5000).repartition(4, "id").groupBy((F.col("id") % 7).alias("k")).count())
+    assert whole() > before
+    assert not shared.swept(spark, 60.0)  # not again so soon
+    assert rows.count() == 7 and rows.where("count > 0").count() == 7
